@@ -4,10 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillforge.llm import bpe, packing
+from quillforge.llm import bpe, canon, lookalike, packing, records
 from quillforge.session import durable, table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canon.map_values(table(spark, sf_dir, "question"), table(spark, sf_dir, "canon_value"))
+
+
+def p1_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canon.unmatched_report(p1_found(spark, sf_dir))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.copies(table(spark, sf_dir, "question"))
+
+
+def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.collapsed(table(spark, sf_dir, "question"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.lookalikes(table(spark, sf_dir, "question"))
+
+
+def p6_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.consistent_questions(table(spark, sf_dir, "question"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -25,5 +49,13 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(_packed(spark, sf_dir))
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report}
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_unmatched": p1_unmatched,
+    "p2_found": p2_found,
+    "p2_records": p2_records,
+    "p6_found": p6_found,
+    "p6_forms": p6_forms,
+    "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report,
+}
 ORACLE: dict[str, str] = {}
