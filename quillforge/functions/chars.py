@@ -25,6 +25,11 @@ _WIDTH = {
 _FROM, _TO = "".join(_WIDTH), "".join(_WIDTH.values())
 
 
+def wide_forms(ch: str) -> list[str]:
+    """The width variants of an ordinary character."""
+    return [w for w, to in _WIDTH.items() if to == ch]
+
+
 def fold_width(c: Column) -> Column:
     """Full- and half-width variants to their ordinary characters."""
     return F.translate(c, _FROM, _TO)
