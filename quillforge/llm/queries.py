@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillforge.llm import bpe, canon, lookalike, packing, records
+from quillforge.llm import bpe, canon, lookalike, packing, records, residue, similar
 from quillforge.session import durable, table
 
 
@@ -24,6 +24,14 @@ def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.collapsed(table(spark, sf_dir, "question"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.Join(table(spark, sf_dir, "question")).question_pairs()
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.Join(table(spark, sf_dir, "question")).groups()
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.lookalikes(table(spark, sf_dir, "question"))
 
@@ -49,13 +57,27 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(_packed(spark, sf_dir))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.marked(table(spark, sf_dir, "documents"))
+
+
+def p9_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.content(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "n_chars")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_unmatched": p1_unmatched,
     "p2_found": p2_found,
     "p2_records": p2_records,
+    "p4_found": p4_found,
+    "p4_groups": p4_groups,
     "p6_found": p6_found,
     "p6_forms": p6_forms,
-    "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_report": p8_report,
+    "p7_ids": p7_ids,
+    "p8_containers": p8_containers,
+    "p8_report": p8_report,
+    "p9_found": p9_found,
+    "p9_content": p9_content,
 }
 ORACLE: dict[str, str] = {}
