@@ -29,109 +29,161 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillforge.session import durable
+
 # The wordings below are the patterns looked for.
-#: Sentences that explain a placeholder rather than leave one.
+#: Sentences that explain a placeholder rather than leave one, with a text each must hold.
 EXPLAINED = (
-    r"(?:模板|template)[^。\n]{0,20}(?:\{\{[^{}\n]*\}\})[^。\n]{0,60}(?:换成|替换|代表|stands? for|swapped)[^。\n]*",
-    r"[“\"']lorem ipsum[”\"'][^。.\n]{0,30}(?:假文|dummy|filler)",
+    ("{{", r"(?:模板|template)[^。\n]{0,20}(?:\{\{[^{}\n]*\}\})[^。\n]{0,60}(?:换成|替换|代表|stands? for|swapped)[^。\n]*"),
+    ("lorem", r"[“\"']lorem ipsum[”\"'][^。.\n]{0,30}(?:假文|dummy|filler)"),
 )
 
 _NAME = r"[\p{L}_][\p{L}\p{N}_. ]{0,40}"
+_FORM_WORDS = ("姓名", "单位", "公司", "地点", "部门", "日期", "设备名称", "数值", "号码")
+_FORM_NAMES = ("company", "name", "role", "equipment", "date", "place", "department")
+_STATUS = (
+    "bad request",
+    "unauthorized",
+    "forbidden",
+    "not found",
+    "method not allowed",
+    "request timeout",
+    "gone",
+    "too many requests",
+    "internal server error",
+    "bad gateway",
+    "service unavailable",
+    "gateway timeout",
+)
+# Each detector: the lower-cased texts of which a match holds at least one (plain search, cheap), and the pattern.
+# An empty tuple searches every text.
 SLOTS = (
-    r"\{\{[^{}\n]{1,60}\}\}",
-    r"[$#]\{[^{}\n]{1,60}\}",
-    r"<%=?[^<>%\n]{1,60}%>",
-    r"\{%[^{}%\n]{1,60}%\}",
-    rf"(?<![$#{{%])\{{{_NAME}\}}",
-    rf"«{_NAME}»",
-    rf"@@{_NAME}@@",
-    rf"\[\[{_NAME}\]\]",
-    rf"%\({_NAME}\)[sd]",
-    r"(?<![0-9０-９ ])%[\p{L}_][\p{L}\p{N}_.]{1,40}%|(?:^|(?<= ))%[\p{L}_][\p{L}\p{N}_.]{1,40}%",
-    r"(?<!_)__(?=[\p{L}])[\p{L}\p{N}_.]{0,40}?(?<=[\p{L}\p{N}])__(?!_)",
-    r"\$[\p{L}_][\p{L}\p{N}_.]{1,40}\$",
-    r"&lt;[^&<>\n]{1,40}&gt;",
-    r"(?i)<(?:your [^<>\n]{1,40}|请输入[^<>\n]{1,40}|(?:enter|insert) [^<>\n]{1,40})>",
-    r"(?i)\[(?:insert|enter|请填写|请输入|填写|此处)[^\[\]\n]{0,60}\]",
-    r"[【（(［](?:此处|请?填写|请输入|待填|待补)[^】）)］\n]{1,40}[】）)］]",
-    r"\[单位\]|（单位全称）|（此处改为",
-    r"(?:TODO|TBD|FIXME)\s*[:：]",
-    r"FIRSTNAME|LASTNAME|\b000-000-?0000|DD/MM/YYYY|(?i:yyyy-mm-dd)",
-    r"（(?:姓名|单位|公司|地点|部门|日期|设备名称|数值|号码)）[^（）\n]{0,12}（(?:姓名|单位|公司|地点|部门|日期|设备名称|数值|号码)）",
-    r"(?i)\((?:company|name|role|equipment|date|place|department)\)[^()\n]{0,30}\((?:company|name|role|equipment|date|place|department)\)",
-    r"(?:XX+|××+|＿＿+|？？+|\*\*\*|某某某?)公司|XXXX Ltd",
-    r"20XX ?年|××年|×月×日|1X{6,}",
-    r"(?:联系人|电话|地点)[:：](?:XX|××|＿＿|？？|某某|\*\*|（号码）|000-0)",
+    (("{{",), r"\{\{[^{}\n]{1,60}\}\}"),
+    (("${", "#{"), r"[$#]\{[^{}\n]{1,60}\}"),
+    (("<%",), r"<%=?[^<>%\n]{1,60}%>"),
+    (("{%",), r"\{%[^{}%\n]{1,60}%\}"),
+    (("{",), rf"(?<![$#{{%])\{{{_NAME}\}}"),
+    (("«",), rf"«{_NAME}»"),
+    (("@@",), rf"@@{_NAME}@@"),
+    (("[[",), rf"\[\[{_NAME}\]\]"),
+    (("%(",), rf"%\({_NAME}\)[sd]"),
+    (("%",), r"(?<![0-9０-９ ])%[\p{L}_][\p{L}\p{N}_.]{1,40}%|(?:^|(?<= ))%[\p{L}_][\p{L}\p{N}_.]{1,40}%"),
+    (("__",), r"(?<!_)__(?=[\p{L}])[\p{L}\p{N}_.]{0,40}?(?<=[\p{L}\p{N}])__(?!_)"),
+    (("$",), r"\$[\p{L}_][\p{L}\p{N}_.]{1,40}\$"),
+    (("&lt;",), r"&lt;[^&<>\n]{1,40}&gt;"),
+    (("<your ", "<请输入", "<enter ", "<insert "), r"(?i)<(?:your [^<>\n]{1,40}|请输入[^<>\n]{1,40}|(?:enter|insert) [^<>\n]{1,40})>"),
+    (("[insert", "[enter", "[请填写", "[请输入", "[填写", "[此处"), r"(?i)\[(?:insert|enter|请填写|请输入|填写|此处)[^\[\]\n]{0,60}\]"),
+    (("此处", "填写", "请输入", "待填", "待补"), r"[【（(［](?:此处|请?填写|请输入|待填|待补)[^】）)］\n]{1,40}[】）)］]"),
+    (("[单位]", "（单位全称）", "（此处改为"), r"\[单位\]|（单位全称）|（此处改为"),
+    (("todo", "tbd", "fixme"), r"(?:TODO|TBD|FIXME)\s*[:：]"),
+    (("firstname", "lastname", "000-000", "dd/mm/yyyy", "yyyy-mm-dd"), r"FIRSTNAME|LASTNAME|\b000-000-?0000|DD/MM/YYYY|(?i:yyyy-mm-dd)"),
+    (tuple(f"（{w}）" for w in _FORM_WORDS), rf"（(?:{'|'.join(_FORM_WORDS)})）[^（）\n]{{0,12}}（(?:{'|'.join(_FORM_WORDS)})）"),
+    (tuple(f"({w})" for w in _FORM_NAMES), rf"(?i)\((?:{'|'.join(_FORM_NAMES)})\)[^()\n]{{0,30}}\((?:{'|'.join(_FORM_NAMES)})\)"),
+    (("x公司", "×公司", "＿公司", "？公司", "*公司", "某公司", "xxxx ltd"), r"(?:XX+|××+|＿＿+|？？+|\*\*\*|某某某?)公司|XXXX Ltd"),
+    (("20xx", "××年", "×月×日", "1xxxxxx"), r"20XX ?年|××年|×月×日|1X{6,}"),
+    (("联系人", "电话", "地点"), r"(?:联系人|电话|地点)[:：](?:XX|××|＿＿|？？|某某|\*\*|（号码）|000-0)"),
 )
 STAND_INS = (
-    r"(?i)\b(?:lorem|ipsum|dolor|amet)\b(?:[ ,]+[a-z]+){0,4}?[ ,]+(?:lorem|ipsum|dolor|sit|amet)\b(?:[ ,]+[a-z]+){0,4}?[ ,]+(?:lorem|ipsum|dolor|sit|amet)\b",
-    r"(?i)\b(?:placeholder|dummy|filler) (?:copy|text)\s*:",
-    r"占位文字|图片占位|正文略|模板保留行|稍后填写|内容待定|内容待补|此处待补充|这里是正文|编者：|请替换",
-    r"(?i)your text (?:about [^.\n]{1,60} )?goes here|\binsert [^\]\n]{1,60} here\b|>>> ?add [^<\n]{1,60}<<<|to be placed\)|keep this line in the template",
-    r"(\p{L}[\p{L}\p{N}]{1,7}[ 0-9]{0,6}?)\1{2,}(?![\p{L}\p{N}])",
-    r"标题一\s*标题二",
+    (
+        ("ipsum", "lorem", "dolor", "amet"),
+        r"(?i)\b(?:lorem|ipsum|dolor|amet)\b(?:[ ,]+[a-z]+){0,4}?[ ,]+(?:lorem|ipsum|dolor|sit|amet)\b(?:[ ,]+[a-z]+){0,4}?[ ,]+(?:lorem|ipsum|dolor|sit|amet)\b",
+    ),
+    (("placeholder", "dummy", "filler"), r"(?i)\b(?:placeholder|dummy|filler) (?:copy|text)\s*:"),
+    ((), ("占位文字", "图片占位", "正文略", "模板保留行", "稍后填写", "内容待定", "内容待补", "此处待补充", "这里是正文", "编者：", "请替换")),
+    (
+        ("goes here", " here", ">>>", "to be placed)", "keep this line"),
+        r"(?i)your text (?:about [^.\n]{1,60} )?goes here|\binsert [^\]\n]{1,60} here\b|>>> ?add [^<\n]{1,60}<<<|to be placed\)|keep this line in the template",
+    ),
+    ((), r"(\p{L}[\p{L}\p{N}]{1,7}[ 0-9]{0,6}?)\1{2,}(?![\p{L}\p{N}])"),
+    (("标题一",), r"标题一\s*标题二"),
 )
 ERRORS = (
-    r"Traceback \(most recent call last\)|File \"[^\"\n]+\", line [0-9]+|\b[\p{L}.]+(?:Exception|Error): |java\.lang\.[\p{L}]+(?:Exception|Error)",
-    r"\bat [\p{L}\p{N}_.$]+\([\p{L}\p{N}_]+\.java:[0-9]+\)",
-    r"(?i)SQL error near|Undefined (?:variable|index|offset)|HTTP Status [45][0-9][0-9]",
-    r"(?i)\b[45][0-9][0-9][ |–-]{1,4}(?:bad request|unauthorized|forbidden|not found|method not allowed|request timeout|gone|too many requests|internal server error|bad gateway|service unavailable|gateway timeout)",
-    r"(?i)(?:bad request|unauthorized|forbidden|not found|method not allowed|request timeout|gone|too many requests|internal server error|bad gateway|service unavailable|gateway timeout) ?[|–-] ?[45][0-9][0-9]\b",
-    r"Access denied\.|may not open this|We could not load|(?i:oops!)|Something went wrong|The address you asked for is not on this server",
-    r"系统繁忙|请稍后再试|加载失败|点击重试|没有权限访问|会话已过期|登录超时|请重新登录|页面走丢|已被删除或下架|秒后自动跳转|页面不存在|开小差|[（(]错误代码[:：] ?[0-9]{3}[）)]|错误号 ?E[0-9]+ ?请求编号",
+    (
+        ("traceback", "file \"", "exception", "error: ", "java.lang."),
+        r"Traceback \(most recent call last\)|File \"[^\"\n]+\", line [0-9]+|\b[\p{L}.]+(?:Exception|Error): |java\.lang\.[\p{L}]+(?:Exception|Error)",
+    ),
+    ((".java:",), r"\bat [\p{L}\p{N}_.$]+\([\p{L}\p{N}_]+\.java:[0-9]+\)"),
+    (("sql error", "undefined", "http status"), r"(?i)SQL error near|Undefined (?:variable|index|offset)|HTTP Status [45][0-9][0-9]"),
+    (_STATUS, rf"(?i)\b[45][0-9][0-9][ |–-]{{1,4}}(?:{'|'.join(_STATUS)})"),
+    (_STATUS, rf"(?i)(?:{'|'.join(_STATUS)}) ?[|–-] ?[45][0-9][0-9]\b"),
+    (
+        ("access denied", "may not open", "could not load", "oops", "something went", "on this server"),
+        r"Access denied\.|may not open this|We could not load|(?i:oops!)|Something went wrong|The address you asked for is not on this server",
+    ),
+    ((), ("系统繁忙", "请稍后再试", "加载失败", "点击重试", "没有权限访问", "会话已过期", "登录超时", "请重新登录", "页面走丢", "已被删除或下架", "秒后自动跳转", "页面不存在", "开小差")),
+    (("错误代码", "错误号"), r"[（(]错误代码[:：] ?[0-9]{3}[）)]|错误号 ?E[0-9]+ ?请求编号"),
 )
 SCRIPTS = (
-    r"(?i)</?noscript>|requires? (?:java ?)?scripts?|javascript is (?:disabled|off)|(?:enable|switch on|turn on|allow) (?:javascript|js|scripts?|scripting)\b|does not support scripts|javascript enabled|scripts are off",
-    r"(?:启用|打开|开启) ?(?:JavaScript|脚本|浏览器脚本)|(?:禁用|关闭)(?:了)?脚本|脚本(?:支持|被拦截|功能)",
+    (
+        ("noscript", "script", " js"),
+        r"(?i)</?noscript>|requires? (?:java ?)?scripts?|javascript is (?:disabled|off)|(?:enable|switch on|turn on|allow) (?:javascript|js|scripts?|scripting)\b|does not support scripts|javascript enabled|scripts are off",
+    ),
+    (("javascript", "脚本"), r"(?:启用|打开|开启) ?(?:JavaScript|脚本|浏览器脚本)|(?:禁用|关闭)(?:了)?脚本|脚本(?:支持|被拦截|功能)"),
 )
 GROUPS = {"slot": SLOTS, "stand_in": STAND_INS, "error": ERRORS, "script": SCRIPTS}
 
 #: Lines that pages of a site carry around their content.
 CHROME = r"(?m)^[^\S\n]*(?:©[^\n]{0,30}|[^\n|]{1,12}(?: \| [^\n|]{1,12}){2,}|Home  Papers  Sign in|Skip to content|首页 题库 我的)[^\S\n]*$"
 WEAK = r"(?i)稍后|重试|重新登录|刷新|抱歉|无法|失败|异常|\bsorry\b|try again|reload|not available|unavailable|could not|cannot|denied|error|administrator"
-LOW_INFORMATION = 240
+LOW_INFORMATION = 300
 SEVERAL_DOCUMENTS, SEVERAL_HOSTS = 3, 2
 
 
-def _any(patterns: tuple[str, ...], text: Column) -> Column:
+def _holds(texts: tuple[str, ...], where: Column) -> Column:
     found = F.lit(False)
-    for p in patterns:
-        found = found | text.rlike(p)
+    for t in texts:
+        found = found | F.contains(where, F.lit(t))
+    return found
+
+
+def _any(detectors, text: Column, low: Column) -> Column:
+    found = F.lit(False)
+    for needs, pattern in detectors:
+        hit = _holds(pattern, text) if isinstance(pattern, tuple) else text.rlike(pattern)
+        found = found | ((_holds(needs, low) & hit) if needs else hit)
     return found
 
 
 def detected(documents: DataFrame) -> DataFrame:
-    """``doc_id, slot, stand_in, error, script, body, source`` of the documents with text."""
+    """``doc_id, source, slot, stand_in, error, script, said``: what each detector group says of the documents with text."""
     said = F.col("text")
-    for p in EXPLAINED:
-        said = F.regexp_replace(said, p, "")
+    for need, pattern in EXPLAINED:
+        said = F.when(F.contains(said, F.lit(need)), F.regexp_replace(said, pattern, "")).otherwise(said)
     rows = documents.filter(F.col("text").isNotNull()).select("doc_id", "source", said.alias("said"))
-    flags = {name: _any(patterns, F.col("said")) for name, patterns in GROUPS.items()}
-    return rows.select("doc_id", "source", *(c.alias(n) for n, c in flags.items()), F.trim(F.regexp_replace("said", CHROME, "")).alias("body"))
+    rows = rows.withColumn("low", F.lower("said"))
+    return rows.select("doc_id", "source", *(_any(d, F.col("said"), F.col("low")).alias(n) for n, d in GROUPS.items()), "said")
 
 
 def _terms(c: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"[a-z]{3,}|[一-鿿]"), F.lit(0)))
 
 
-def host_evidence(rows: DataFrame) -> DataFrame:
-    """``doc_id`` of responses: little information, a weak word, unlike slug and title, the same for several documents and hosts."""
+def judged(documents: DataFrame) -> DataFrame:
+    """``doc_id, sure, host, shell``: one pass over the texts.
+
+    ``sure`` if a detector is; else ``shell`` is the hash of the masked text of
+    a response of little information with a weak word, unlike slug and title.
+    """
+    rows = detected(documents).withColumn("sure", F.col("slot") | F.col("stand_in") | F.col("error") | F.col("script"))
+    body = F.trim(F.regexp_replace("said", CHROME, ""))
+    short = ~F.col("sure") & (F.length("said") <= LOW_INFORMATION)
+    rows = rows.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), "sure", F.when(short, body).alias("body"))
     title = F.substring_index("body", "\n", 1)
     rest = F.substring(F.col("body"), F.length(title) + 1, F.length("body"))
-    low = rows.filter((F.length("body") <= LOW_INFORMATION) & F.col("body").rlike(WEAK))
+    unlike = ~F.arrays_overlap(_terms(F.col("host")), _terms(F.col("body"))) & ((F.trim(rest) == "") | ~F.arrays_overlap(_terms(title), _terms(rest)))
     masked = F.regexp_replace(F.lower(F.col("body")), r"[\p{N}]+|[a-z]{2}-#", "#")
-    mismatch = ~F.arrays_overlap(_terms(F.coalesce("source", F.lit(""))), _terms(F.col("body"))) & ((F.trim(rest) == "") | ~F.arrays_overlap(_terms(title), _terms(rest)))
-    low = low.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(masked).alias("shell"), F.coalesce(mismatch, F.lit(True)).alias("mismatch"))
-    per_host = low.groupBy("shell", "host").agg(F.count("*").alias("n"))
-    shells = per_host.groupBy("shell").agg(F.sum("n").alias("docs"), F.count("*").alias("hosts")).filter((F.col("docs") >= SEVERAL_DOCUMENTS) & (F.col("hosts") >= SEVERAL_HOSTS))
-    return low.filter("mismatch").join(shells, "shell").select("doc_id")
+    weak = F.col("body").isNotNull() & F.col("body").rlike(WEAK)
+    return rows.select("doc_id", "host", "sure", F.when(weak & F.coalesce(unlike, F.lit(True)), F.xxhash64(masked)).alias("shell"))
 
 
 def marked(documents: DataFrame) -> DataFrame:
     """``doc_id`` of the documents that are or hold residue."""
-    rows = detected(documents)
-    sure = rows.filter("slot or stand_in or error or script").select("doc_id")
-    return sure.unionByName(host_evidence(rows.filter("not (slot or stand_in or error or script)"))).distinct()
+    rows = durable(judged(documents), "p9-judged")
+    # Filtered after the write: a pushed-down filter would repeat every expression.
+    weak = rows.filter(F.col("shell").isNotNull())
+    per_host = weak.groupBy("shell", "host").agg(F.count("*").alias("n"))
+    shells = per_host.groupBy("shell").agg(F.sum("n").alias("docs"), F.count("*").alias("hosts")).filter((F.col("docs") >= SEVERAL_DOCUMENTS) & (F.col("hosts") >= SEVERAL_HOSTS))
+    return rows.filter("sure").select("doc_id").unionByName(weak.join(shells, "shell").select("doc_id")).distinct()
 
 
 def content(documents: DataFrame) -> DataFrame:
