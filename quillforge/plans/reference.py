@@ -379,7 +379,7 @@ def header_normalise(spark, d):
 
 
 @query(rf"""
-SELECT q.id, o.o.key AS key, {_trim_sql(f"regexp_replace(o.o.text, '(?i)^{_WS}*[\[(（【]?{_WS}*' || o.o.key || '(?:{_WS}*[\])）】])?(?:{_WS}*[、.．:：]|{_WS}){_WS}*', '')")} AS text
+SELECT q.id, o.o.key AS key, {_trim_sql(rf"regexp_replace(o.o.text, '(?i)^{_WS}*[\[(（【]?{_WS}*' || o.o.key || '(?:{_WS}*[\])）】])?(?:{_WS}*[、.．:：]|{_WS}){_WS}*', '')")} AS text
 FROM question q, LATERAL (SELECT unnest(q.options) AS o) o
 """)
 def option_prefix_clean(spark, d):
