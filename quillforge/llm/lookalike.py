@@ -87,13 +87,13 @@ def mark_classes() -> dict[str, int]:
 
 @lru_cache(1)
 def compositions() -> dict[str, str]:
-    """Full decomposition of each composed character to the character."""
+    """Each canonical pair of base and mark to the character it composes to."""
     out = {}
     for cp in range(0xC0, 0x1E945):
         ch = chr(cp)
-        full = unicodedata.normalize("NFD", ch)
-        if full != ch and not 0xAC00 <= cp <= 0xD7A3 and unicodedata.normalize("NFC", ch) == ch:
-            out[full] = ch
+        parts = unicodedata.decomposition(ch).split()
+        if len(parts) == 2 and not parts[0].startswith("<") and unicodedata.normalize("NFC", ch) == ch:
+            out["".join(chr(int(p, 16)) for p in parts)] = ch
     return out
 
 
@@ -105,14 +105,26 @@ def _recomposed(text: Column) -> Column:
     """Marks after each base ordered by class, then base and marks composed."""
     classes, composed = _literal_map(mark_classes(), "int"), _literal_map(compositions(), "string")
 
-    def ordered(cluster: Column) -> Column:
+    def several(cluster: Column) -> Column:
+        """Marks in the order of their classes, each composed unless one of its class or a higher one stays before it."""
         marks = F.filter(F.split(F.substring(cluster, 2, 1 << 20), ""), lambda m: m != "")
-        keyed = F.transform(marks, lambda m, i: F.struct(F.coalesce(F.try_element_at(classes, m), F.lit(0)).alias("k"), i.alias("i"), m.alias("m")))
-        return F.concat(F.substring(cluster, 1, 1), F.array_join(F.transform(F.array_sort(keyed), lambda s: s["m"]), ""))
+        keyed = F.array_sort(F.transform(marks, lambda m, i: F.struct(F.coalesce(F.try_element_at(classes, m), F.lit(0)).alias("k"), i.alias("i"), m.alias("m"))))
+        start = F.struct(F.substring(cluster, 1, 1).alias("base"), F.lit("").alias("rest"), F.lit(-1).alias("last"))
+
+        def step(acc: Column, x: Column) -> Column:
+            made = F.when(acc["last"] < x["k"], F.try_element_at(composed, F.concat(acc["base"], x["m"])))
+            return F.struct(
+                F.coalesce(made, acc["base"]).alias("base"),
+                F.when(made.isNull(), F.concat(acc["rest"], x["m"])).otherwise(acc["rest"]).alias("rest"),
+                F.when(made.isNull(), x["k"]).otherwise(acc["last"]).alias("last"),
+            )
+
+        return F.aggregate(keyed, start, step, lambda acc: F.concat(acc["base"], acc["rest"]))
 
     def compose(cluster: Column) -> Column:
-        key = F.when(F.length(cluster) > 2, ordered(cluster)).otherwise(cluster)
-        return F.when(F.length(cluster) == 1, cluster).otherwise(F.coalesce(F.try_element_at(composed, key), key))
+        one = F.coalesce(F.try_element_at(composed, cluster), cluster)
+        bare = F.substring(several(F.concat(F.lit("\x01"), cluster)), 2, 1 << 20)  # marks at the start have no base
+        return F.when(F.length(cluster) == 1, cluster).when(cluster.rlike(r"^\p{M}"), bare).when(F.length(cluster) == 2, one).otherwise(several(cluster))
 
     clusters = F.regexp_extract_all(text, F.lit(r"(?s)(\P{M}\p{M}*|\p{M}+)"), F.lit(1))
     return F.when(text.rlike(r"\p{M}"), F.array_join(F.transform(clusters, compose), "")).otherwise(text)

@@ -94,7 +94,7 @@ STAND_INS = (
         ("goes here", " here", ">>>", "to be placed)", "keep this line"),
         r"(?i)your text (?:about [^.\n]{1,60} )?goes here|\binsert [^\]\n]{1,60} here\b|>>> ?add [^<\n]{1,60}<<<|to be placed\)|keep this line in the template",
     ),
-    ((), r"(\p{L}[\p{L}\p{N}]{1,7}[ 0-9]{0,6}?)\1{2,}(?![\p{L}\p{N}])"),
+    ((), r"(\p{L}[\p{L}\p{N}]{1,2}[ 0-9]{0,6}?)\1{3,}|(\p{L}[\p{L}\p{N}]{3,7}[ 0-9]{0,6}?)\2{2,}"),
     (("标题一",), r"标题一\s*标题二"),
 )
 ERRORS = (
