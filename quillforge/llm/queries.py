@@ -80,4 +80,26 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_content": p9_content,
 }
-ORACLE: dict[str, str] = {}
+
+_BLANK = r"[\p{Z}\t\n\v\f\r\x1C-\x1F\x{85}]"
+
+
+def _counted(c: str) -> str:
+    """Marks between two digits are protected by a private character (twice, as digits overlap), all others removed."""
+    between = r"(\p{Nd})(\p{P})(\p{Nd})"
+    for _ in range(2):
+        c = f"regexp_replace({c}, '{between}', '\\1' || chr(57344) || '\\2\\3', 'g')"
+    return f"replace(regexp_replace({c}, '(' || chr(57344) || '\\p{{P}})|\\p{{P}}|{_BLANK}', '\\1', 'g'), chr(57344), '')"
+
+
+_RECORDS = f"""
+WITH s AS (SELECT id, {_counted("lower(coalesce(stem, ''))")} AS stem, coalesce(answers, []) AS answers FROM question),
+p AS (SELECT id, unnest(regexp_split_to_array(lower(a), '[,，﹐､、;；﹔]')) AS part FROM (SELECT id, unnest(answers) AS a FROM s) z),
+c AS (SELECT id, {_counted('part')} AS part FROM p),
+g AS (SELECT s.id, s.stem, coalesce((SELECT string_agg(part, '|' ORDER BY part) FROM c WHERE c.id = s.id AND part <> ''), '') AS parts FROM s),
+k AS (SELECT id, min(id) OVER (PARTITION BY stem, parts) AS keep_id, count(*) OVER (PARTITION BY stem, parts) AS n_copies FROM g)
+"""
+ORACLE: dict[str, str] = {
+    "p2_found": _RECORDS + "SELECT keep_id, id AS copy_id FROM k WHERE id <> keep_id",
+    "p2_records": _RECORDS + "SELECT keep_id, n_copies FROM k WHERE id = keep_id",
+}
