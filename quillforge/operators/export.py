@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillforge.functions import text as T
+from quillforge.operators.sequence import with_last
 
 # The columns of the standard sheet, in order.
 COLUMNS = ("题型", "难度", "类别", "题干", *(f"选项{k}" for k in T.OPTION_KEYS[:9]), "答案", "出处", "保命题", "备注")
@@ -31,10 +32,9 @@ def sheet_rows(questions: DataFrame) -> DataFrame:
 
 def context_rows(questions: DataFrame, within: str, order: list[str]) -> DataFrame:
     """The extra rows to write before questions whose context is not blank and differs from the one before."""
-    w = Window.partitionBy(within).orderBy(*order)
     context = F.coalesce("case_context", F.lit(""))
-    rows = questions.withColumn("before", F.coalesce(F.lag(context).over(w), F.lit("")))
-    return rows.filter((context != "") & (context != F.col("before"))).select(F.col("id").alias("before_id"), within, F.col("case_context").alias("context"))
+    rows = with_last(questions, context, [within], order, "before", inclusive=False)
+    return rows.filter((context != "") & (context != F.coalesce("before", F.lit("")))).select(F.col("id").alias("before_id"), within, F.col("case_context").alias("context"))
 
 
 def missing_options(questions: DataFrame) -> DataFrame:

@@ -54,6 +54,11 @@ def replace_banks(lib: Library, banks: DataFrame, questions: DataFrame) -> Libra
     )
 
 
+def deletable(banks: DataFrame) -> DataFrame:
+    """Only uploads may be deleted by a user."""
+    return banks.filter(F.col("origin") == "upload")
+
+
 def delete_banks(lib: Library, ids: DataFrame) -> Library:
     """Banks of the column ``bank_id`` go with their questions and the progress of these."""
     gone = lib.questions.join(ids, "bank_id", "left_semi").select(F.col("id").alias("question_id"))

@@ -80,6 +80,41 @@ def facets(questions: DataFrame) -> DataFrame:
     return lists.groupBy("bank_id").agg(pick("type").alias("types"), pick("difficulty").alias("difficulties"))
 
 
+CONFIG_JSON = "bankId string, type string, difficulty string, count int, order string, lifesavingOnly boolean"
+
+
+def stored_configs(stored: DataFrame) -> DataFrame:
+    """Configurations from JSON text (``config_id, json``), each field checked by itself.
+
+    Text that is no JSON gives the defaults, and so does any single field of a
+    wrong type or value.
+    """
+    c = F.from_json("json", CONFIG_JSON)
+    rows = stored.select("config_id", c.alias("c"))
+    size = F.when(F.col("c.count").isin(*SIZES), F.col("c.count")).otherwise(20)
+    order = F.when(F.col("c.order").isin("random", "sequential"), F.col("c.order")).otherwise("random")
+    return rows.select(
+        "config_id",
+        F.coalesce("c.bankId", F.lit(ALL)).alias("bank_id"),
+        F.coalesce("c.type", F.lit(ALL_TYPES)).alias("type"),
+        F.coalesce("c.difficulty", F.lit(ALL_DIFFICULTIES)).alias("difficulty"),
+        size.alias("count"),
+        order.alias("order"),
+        F.coalesce("c.lifesavingOnly", F.lit(False)).alias("lifesaving_only"),
+    )
+
+
+def choices(questions: DataFrame) -> DataFrame:
+    """The lists offered for each bank: the "all" entry, then the bank's types or difficulties."""
+    f = facets(questions)
+    none = F.array().cast("array<string>")
+    return f.select(
+        "bank_id",
+        F.array_prepend(F.coalesce("types", none), ALL_TYPES).alias("types"),
+        F.array_prepend(F.coalesce("difficulties", none), ALL_DIFFICULTIES).alias("difficulties"),
+    )
+
+
 def repaired(configs: DataFrame, questions: DataFrame) -> DataFrame:
     """Configurations with unknown banks, types and difficulties set back to "all", and odd sizes to 20.
 

@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillforge.session import ship
+
 COLUMNS = 18
 OPTION_KEYS = "ABCDEFGHI"
 # Question types of the sheet format.
@@ -109,6 +111,7 @@ def parse_lines(raw: DataFrame) -> DataFrame:
                     errors.append(error)
             yield pd.DataFrame({"line_id": pdf["line_id"], "fields": fields, "error_at": pd.array(errors, dtype="Int32")})
 
+    ship(raw.sparkSession)
     kind = raw.schema["line_id"].dataType.simpleString()
     return raw.select("line_id", "line_text", "delim").mapInPandas(run, f"line_id {kind}, fields array<string>, error_at int")
 
@@ -126,6 +129,7 @@ def parse_files(raw: DataFrame) -> DataFrame:
             cols = list(zip(*out)) if out else [[], [], [], []]
             yield pd.DataFrame({"line_id": list(cols[0]), "record_start": list(cols[1]), "fields": list(cols[2]), "error_at": pd.array(list(cols[3]), dtype="Int32")})
 
+    ship(raw.sparkSession)
     kind = raw.schema["line_id"].dataType.simpleString()
     return raw.select("line_id", "line_text", "delim").mapInPandas(run, f"line_id {kind}, record_start int, fields array<string>, error_at int")
 

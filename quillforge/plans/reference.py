@@ -251,6 +251,34 @@ def config_fallback(spark, d):
     return paper.repaired(configs, questions(spark, d))
 
 
+_STORED = [
+    ("s1", '{"bankId": "b", "type": "单选题", "count": 50, "order": "sequential", "lifesavingOnly": true}'),
+    ("s2", '{"count": 7, "order": "sideways", "lifesavingOnly": false}'),
+    ("s3", "not json"),
+    ("s4", "{}"),
+]
+
+
+@query("""
+SELECT * FROM (VALUES ('s1', 'b', '单选题', '全部难度', 50, 'sequential', true), ('s2', 'all', '全部题型', '全部难度', 20, 'random', false),
+  ('s3', 'all', '全部题型', '全部难度', 20, 'random', false), ('s4', 'all', '全部题型', '全部难度', 20, 'random', false))
+  t(config_id, bank_id, type, difficulty, count, "order", lifesaving_only)
+""")
+def config_store(spark, d):
+    return paper.stored_configs(spark.createDataFrame(_STORED, "config_id string, json string"))
+
+
+@query("SELECT bank_id, 1 + count(DISTINCT nullif(type, '')) AS types, 1 + count(DISTINCT nullif(difficulty, '')) AS difficulties, '全部题型' AS first_type FROM question GROUP BY bank_id")
+def facet_choices(spark, d):
+    c = paper.choices(questions(spark, d))
+    return c.select("bank_id", F.size("types").cast("bigint").alias("types"), F.size("difficulties").cast("bigint").alias("difficulties"), F.get("types", F.lit(0)).alias("first_type"))
+
+
+@query("SELECT id, substr(name, 1, 1) AS initial, format('{:,}', question_count::BIGINT * 1000) AS shown FROM bank")
+def bank_labels(spark, d):
+    return banks(spark, d).select("id", T.initial(F.col("name")).alias("initial"), T.thousands(F.col("question_count").cast("bigint") * 1000).alias("shown"))
+
+
 # ---- grading and sessions -------------------------------------------------
 
 _POS = """(SELECT s.id AS session_id, coalesce(s.mode, 'practice') AS mode, u.pos - 1 AS pos, s.question_ids[u.pos] AS question_id,
@@ -549,6 +577,29 @@ def ingest_strict(spark, d):
     return ingest.import_rows(sheet_rows(spark, d), strict=True, keep_unanswered=True).questions.select("file", "sheet", "id", "type", "answer_mode", joined("answers").alias("answers"))
 
 
+@query()
+def source_row_locator(spark, d):
+    return ingest.source_rows(sheet_rows(spark, d))
+
+
+@query()
+def reconciled_imports(spark, d):
+    """Imported questions whose source row an independent search finds, by sheet."""
+    rows = sheet_rows(spark, d)
+    got = export.reconciled(ingest.import_rows(rows).questions, ingest.source_rows(rows))
+    return got.groupBy("file", "sheet").agg(F.count("*").alias("imported"), F.count_if("found").alias("found"))
+
+
+@query()
+def first_warnings(spark, d):
+    return ingest.first_warnings(ingest.import_rows(sheet_rows(spark, d)))
+
+
+@query("SELECT id FROM bank WHERE origin = 'upload'")
+def deletable_banks(spark, d):
+    return library.deletable(banks(spark, d)).select("id")
+
+
 _CASE_ROWS = """(SELECT id, bank_id, source_row, coalesce(type, '') AS type, stem, array_to_string(answers, ',') AS answer, len(options) AS n_options FROM question)"""
 
 
@@ -757,7 +808,7 @@ def xlsx_round_trip(spark, d):
     from quillforge.sources import xlsx
 
     folder = shared_dir(spark).removeprefix("file://") + f"/xlsx-{uuid4().hex}"
-    spark.dataSource.register(xlsx.XlsxSource)
+    xlsx.register(spark)
     export.sheet_rows(questions(spark, d)).drop("id").write.format("quill_xlsx").mode("append").save(folder)
     rows = xlsx.read_workbooks(spark, folder)
     return rows.select(F.regexp_extract("file", "([^/]*)$", 1).alias("file"), "sheet", "row_num", F.size("cells").alias("n_cells"))

@@ -1,6 +1,6 @@
 """Spreadsheet workbooks as a Spark data source, and a writer.
 
-    spark.dataSource.register(XlsxSource)
+    register(spark)
     spark.read.format("quill_xlsx").load("folder-or-file")
 
 One partition per workbook; rows are streamed, entries that are not needed are
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from quillforge.model import SHEET_ROW
+from quillforge.session import ship
 
 # The guardrails of the reader.
 LIMITS = {"max_entry_mb": 256, "max_total_mb": 512, "max_columns": 256, "max_rows": 250_000}
@@ -295,8 +296,13 @@ def _clean(text: str) -> str:
     return _CONTROL.sub("", text)
 
 
-def read_workbooks(spark, path: str, **options) -> DataFrame:
+def register(spark) -> None:
+    ship(spark)
     spark.dataSource.register(XlsxSource)
+
+
+def read_workbooks(spark, path: str, **options) -> DataFrame:
+    register(spark)
     return spark.read.format("quill_xlsx").options(**options).load(path)
 
 

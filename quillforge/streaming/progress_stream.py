@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from quillforge.session import ship
+
 EVENT_SCHEMA = (
     "event_id bigint, question_id string, bank_id string, device_id string, kind string, correct boolean, "
     "ts timestamp_ntz, seq int, received_at timestamp_ntz"
@@ -78,6 +80,7 @@ def _advance(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterato
 
 def running_state(stream: DataFrame) -> DataFrame:
     """State with drops and resets, exact for events in order within and between batches of a question."""
+    ship(stream.sparkSession)
     rows = once(stream).select("question_id", "kind", "correct", "ts", "seq", "event_id")
     return rows.groupBy("question_id").applyInPandasWithState(_advance, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
 
