@@ -27,6 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from quillforge.session import ship
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-tokenisation pattern of this vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -125,6 +127,7 @@ def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "tex
                 ids = [enc.encode(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
 
+    ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
     return documents.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>")
 
@@ -138,5 +141,6 @@ def token_counts(documents: DataFrame, key: str = "doc_id", text: str = "text",
             counts = [len(enc.encode(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=[key, "n_tokens"])
 
+    ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
     return documents.select(key, text).mapInArrow(run, f"{key} {kind}, n_tokens bigint")

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillforge.session import ship
+
 CAPACITY = 2048
 WINDOW = 4096
 
@@ -75,6 +77,7 @@ def pack(sizes: list[int], capacity: int) -> list[int]:
 
 def containers(items: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity: int = CAPACITY, window: int = WINDOW) -> DataFrame:
     """``key, piece, start, n_tokens, container_id``: one row per piece of an item."""
+    ship(items.sparkSession)
     kind = items.schema[key].dataType.simpleString()
     base = items.select(key, F.coalesce(F.col(size).cast("bigint"), F.lit(0)).alias("n"))
     pieces = base.select(
