@@ -129,15 +129,20 @@ def body_rows(sheet_rows: DataFrame, aliases: DataFrame, salts: int = 16) -> Dat
 
 def file_profiles(body: DataFrame) -> DataFrame:
     """Path-type statistics: per file and field whether it is there, its wording and kinds of values."""
-    aggs = [F.min("feed").alias("feed"), F.min("file_seq").alias("file_seq")]
+    # Strings are grouping keys and counts are the only buffers, so rows are hashed, not sorted; a file has few
+    # different keys, and the second aggregation brings its sheets together.
+    words = [F.col(f"h_{f}.wording").alias(f"w_{f}") for f in FIELDS]
+    counts = []
     for f in FIELDS:
         value = F.col(f"v_{f}")
-        aggs += [
-            F.min(f"h_{f}.wording").alias(f"w_{f}"),
-            F.count_if(F.col("is_body") & (value != "")).alias(f"n_{f}"),
-            F.count_if(F.col("is_body") & value.rlike(NUMBER)).alias(f"d_{f}"),
-        ]
-    grouped = body.groupBy("file_id").agg(*aggs)
+        counts += [F.count_if(F.col("is_body") & (value != "")).alias(f"n_{f}"), F.count_if(F.col("is_body") & value.rlike(NUMBER)).alias(f"d_{f}")]
+    sheets = body.groupBy("feed", "file_seq", "file_id", *words).agg(*counts)
+    grouped = sheets.groupBy("file_id").agg(
+        F.min("feed").alias("feed"),
+        F.min("file_seq").alias("file_seq"),
+        *(F.min(f"w_{f}").alias(f"w_{f}") for f in FIELDS),
+        *(F.sum(f"{k}_{f}").alias(f"{k}_{f}") for f in FIELDS for k in ("n", "d")),
+    )
     return grouped.select(
         "feed",
         "file_seq",
