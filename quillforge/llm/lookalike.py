@@ -176,10 +176,10 @@ def lookalikes(questions: DataFrame) -> DataFrame:
     """``field_name, id_a, id_b, key_a, key_b`` of texts that look the same but are not the same characters."""
     texts = question_texts(questions)
     forms = consistent(texts.select("text", "h")).select("h", "c")
-    rows = durable(
-        texts.drop("text").join(forms, "h", "left").select("id", "role", "key", "h", F.coalesce("c", "h").alias("c")),
-        "p6-rows",
-    )
+    # Texts that stand for themselves ("A", "T", ...) need no join, however often they occur.
+    rough = F.col("text").rlike(NOT_PLAIN)
+    known = texts.filter(~rough).select("id", "role", "key", "h", F.col("h").alias("c"))
+    rows = durable(known.unionByName(texts.filter(rough).drop("text").join(forms, "h").select("id", "role", "key", "h", "c")), "p6-rows")
     # Stems: pairs of different texts of one form, then the questions that have them.
     stems = rows.filter("role = 'stem'").select("id", "h", "c")
     several = stems.groupBy("c").agg((F.min("h") != F.max("h")).alias("several")).filter("several").select("c")
