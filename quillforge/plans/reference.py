@@ -707,7 +707,7 @@ def replace_rekey(spark, d):
     return library.rekeyed(questions(spark, d), F.col("bank_id"), F.concat("bank_id", F.lit("-k1"))).select("id", "bank_id")
 
 
-@query("SELECT name, id, row_number() OVER (PARTITION BY name ORDER BY id) AS occurrence FROM bank")
+@query("SELECT name, id, (row_number() OVER (PARTITION BY name ORDER BY id))::INTEGER AS occurrence FROM bank")
 def names_in_order(spark, d):
     return library.names_in_order(banks(spark, d).select("name", "id", F.col("id").alias("file_ord"))).select("name", "id", "occurrence")
 
