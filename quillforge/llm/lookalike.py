@@ -182,7 +182,9 @@ def lookalikes(questions: DataFrame) -> DataFrame:
     rows = durable(known.unionByName(texts.filter(rough).drop("text").join(forms, "h").select("id", "role", "key", "h", "c")), "p6-rows")
     # Stems: pairs of different texts of one form, then the questions that have them.
     stems = rows.filter("role = 'stem'").select("id", "h", "c")
-    several = stems.groupBy("c").agg((F.min("h") != F.max("h")).alias("several")).filter("several").select("c")
+    # Numbers as the only buffers: hashed, not sorted.
+    bounds = [F.min("h.a").alias("a0"), F.max("h.a").alias("a1"), F.min("h.b").alias("b0"), F.max("h.b").alias("b1")]
+    several = stems.groupBy("c").agg(*bounds).filter("a0 < a1 or b0 < b1").select("c")
     stems = stems.join(several, "c")
     variants = stems.select("c", "h").distinct()
     va, vb = variants.select("c", F.col("h").alias("h_a")), variants.select("c", F.col("h").alias("h_b"))
