@@ -6,6 +6,7 @@ white space; "punctuation" is Unicode category P.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -30,6 +31,12 @@ def wide_forms(ch: str) -> list[str]:
     return [w for w, to in _WIDTH.items() if to == ch]
 
 
+def spellings(texts: list[str]) -> str:
+    """A pattern that finds any text in any case and width, with other characters than letters and digits in between."""
+    one = lambda ch: "[" + "".join(re.escape(x) for x in dict.fromkeys(v for c in (ch, ch.upper()) for v in (c, *wide_forms(c)))) + "]"
+    return "|".join(r"[^\p{L}\p{N}]*".join(one(ch) for ch in t) for t in texts)
+
+
 def fold_width(c: Column) -> Column:
     """Full- and half-width variants to their ordinary characters."""
     return F.translate(c, _FROM, _TO)

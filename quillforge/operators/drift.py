@@ -21,12 +21,10 @@ Defined cases
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillforge.functions.chars import BLANK, fold_width, letters_digits, trim_blank, wide_forms
+from quillforge.functions.chars import BLANK, fold_width, letters_digits, spellings, trim_blank
 
 FIELDS = ("stem", "answer", "category", "difficulty")
 ALL_FIELDS = ("type", *FIELDS)
@@ -48,12 +46,6 @@ def _aliases(aliases: DataFrame) -> list[tuple[str, int, str]]:
     return sorted({(r.field_name, r.alias_rank, r.text) for r in rows}, key=lambda r: (-len(r[2]), r[1], r[0]))
 
 
-def _spellings(texts: list[str]) -> str:
-    """A pattern that finds any text in any case and width, with other characters than letters and digits in between."""
-    one = lambda ch: "[" + "".join(re.escape(x) for x in dict.fromkeys(v for c in (ch, ch.upper()) for v in (c, *wide_forms(c)))) + "]"
-    return "|".join(r"[^\p{L}\p{N}]*".join(one(ch) for ch in t) for t in texts)
-
-
 def _names(field: str):
     return lambda hit: hit["field"] == field
 
@@ -73,7 +65,7 @@ def headers(sheet_rows: DataFrame, aliases: DataFrame) -> DataFrame:
     pick = lambda part: F.get(F.array(*(F.lit(k[part]) for k in known)), F.col("hit")) if known else F.lit(None)
     cells = sheet_rows.select("file_id", "sheet_name", "row_num", F.explode("cells").alias("col", "wording"))
     if known:
-        cells = cells.filter(F.col("wording").rlike(_spellings([k[2] for k in known])))
+        cells = cells.filter(F.col("wording").rlike(spellings([k[2] for k in known])))
     named = (
         cells.withColumn("text", letters_digits(F.col("wording")))
         .filter(text != "")
