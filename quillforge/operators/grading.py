@@ -38,10 +38,11 @@ def answerable(mode: Column, response: Column) -> Column:
 def graded(sessions: DataFrame, questions: DataFrame) -> DataFrame:
     """Each answered position of a session graded against its question, once per session and question."""
     q = questions.select(F.col("id").alias("question_id"), "answer_mode", "answers")
-    rows = positions(sessions).filter(F.col("response").isNotNull()).join(q, "question_id")
-    rows = rows.filter(answerable(F.col("answer_mode"), F.col("response")))
-    rows = rows.withColumn("is_right", T.is_correct(F.col("answer_mode"), F.col("response"), F.col("answers")))
-    return rows.groupBy("session_id", "question_id").agg(F.min_by("is_right", "pos").alias("is_right"), F.min("mode").alias("mode"))
+    # Responses are kept by question, so repeated positions agree and go before the join;
+    # nothing is grouped after it, and a question in very many sessions can be split.
+    rows = positions(sessions).filter(F.col("response").isNotNull()).select("session_id", "question_id", "mode", "response").dropDuplicates(["session_id", "question_id"])
+    rows = rows.join(q, "question_id").filter(answerable(F.col("answer_mode"), F.col("response")))
+    return rows.select("session_id", "question_id", T.is_correct(F.col("answer_mode"), F.col("response"), F.col("answers")).alias("is_right"), "mode")
 
 
 def tallies(sessions: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ wrong ones after the last ``reset_wrong`` too, ``starred`` is the parity of the
 star toggles.  Order is (ts, seq, event_id).
 
 The fold needs no sorting: the few drop and reset stamps are one small row per
-question, joined back to the events, which are then counted with map-side
-partial aggregation, so a hot question costs no more than others.
+question, joined back to the events by question and salt (``SALTS`` copies of
+each stamp), and the events are counted with partial aggregation.  A question
+with a third of all events is so spread over ``SALTS`` tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SALTS = 16
 EVENT_COLUMNS = ("event_id", "question_id", "bank_id", "kind", "correct", "ts", "seq")
 
 
@@ -31,7 +33,9 @@ def fold(events: DataFrame) -> DataFrame:
         .groupBy("question_id")
         .agg(F.max(F.when(F.col("kind") == "drop", F.col("at"))).alias("dropped"), F.max(F.when(F.col("kind") == "reset_wrong", F.col("at"))).alias("reset"))
     )
-    live = rows.join(stamps, "question_id", "left").filter((F.col("kind") != "drop") & (F.col("dropped").isNull() | (F.col("at") > F.col("dropped"))))
+    stamps = stamps.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.hash("event_id"), F.lit(SALTS)))
+    live = rows.join(stamps, ["question_id", "salt"], "left").filter((F.col("kind") != "drop") & (F.col("dropped").isNull() | (F.col("at") > F.col("dropped"))))
     answer = F.col("kind") == "answer"
     counts = F.col("reset").isNull() | (F.col("at") > F.col("reset"))
     return live.groupBy("question_id").agg(
