@@ -7,20 +7,22 @@ or a notice that scripts are needed.  Two kinds of evidence are combined:
 * detectors: patterns that content for a reader does not hold.  Sentences that
   explain a placeholder (what a mark in a mail template stands for, what dummy
   text is used for) are taken out first, so mentioning is not being;
-* host evidence for what no detector knows by itself: the lines every page of
-  a site carries are taken off, the terms of the address slug (``source``) and
-  of the title (first line) are compared with those of the body, and texts of
-  little information that hold a weak word of refusal count as responses if
-  they agree with neither slug nor title and the same masked text is returned
-  for several documents by several hosts.
-
-All patterns run in the JVM; only documents of little information with a weak
-word take part in the aggregation, by a hash of the masked text, partially
-aggregated before the shuffle.
+* evidence for what no detector knows by itself: texts of little information
+  get a point for each of apology, inability, advice and site word they hold,
+  and for a title (first line) or address slug (``source``) that shares no
+  content term with the rest; they lose one where those agree, where the text
+  tells of such messages, and where much is left besides.  Three points make
+  a response; one may be that the same masked text is given for a share of the
+  pages of the hosts that have it, on several hosts or under several titles.
+  Shares, not counts, so that more or repeated rows change nothing.
+
+All patterns run in the JVM; only documents of little information with two
+points or more take part in the aggregation, by a hash of the masked text,
+partially aggregated before the shuffle; pages are counted by host.
 
 Defined cases: null, empty and blank texts and mere scraps are not marked; the
 whole text is searched, whatever its length; repeated texts are each judged,
-and are the host evidence; a null source is one host; a repeated id comes out
+and weigh by their share; a null source is one host; a repeated id comes out
 once; an empty table gives an empty result; further columns are not touched.
 """
 
@@ -124,9 +126,25 @@ GROUPS = {"slot": SLOTS, "stand_in": STAND_INS, "error": ERRORS, "script": SCRIP
 
 #: Lines that pages of a site carry around their content.
 CHROME = r"(?m)^[^\S\n]*(?:©[^\n]{0,30}|[^\n|]{1,12}(?: \| [^\n|]{1,12}){2,}|Home  Papers  Sign in|Skip to content|首页 题库 我的)[^\S\n]*$"
-WEAK = r"(?i)稍后|重试|重新登录|刷新|抱歉|无法|失败|异常|\bsorry\b|try again|reload|not available|unavailable|could not|cannot|denied|error|administrator"
+# What a response says, by kind: each kind counts once. Inability is what any response holds.
+APOLOGY = r"(?i)\bsorry\b|\bapologi[sz]e|\bunfortunately\b|\bwhoops\b|抱歉|对不起|不好意思|很遗憾"
+INABILITY = (
+    r"(?i)\b(?:can ?not|can[’']t|could not|couldn[’']t|unable to|failed to) (?:be )?(?:show|serve|display|load|open|find|found|reach|retriev|process|complete|connect|access|deliver|fetch|render)"
+    r"|\b(?:is|are) (?:currently |temporarily |not )?(?:unavailable|available|down|offline)\b|\bno longer (?:available|exists?)|\bdoes not exist|\bhas (?:expired|timed out|been (?:removed|moved|deleted))"
+    r"|\b(?:not (?:allowed|permitted|authori[sz]ed)|permission) to (?:view|open|see|access)|无法(?:访问|显示|打开|加载|连接|完成|提供|处理|获取|读取|响应)"
+    r"|(?:加载|访问|请求|连接|提交|读取|获取|打开|登录|响应)(?:失败|超时|出错|异常)|(?:页面|网页|链接|内容|资源|地址)[^。\n]{0,6}(?:不存在|已?(?:下线|失效|过期|删除|移除))|暂时?(?:不可用|未开放)|(?:没有|无|未获)[^。\n]{0,12}权限|找不到|拒绝访问|维护中|正在维护"
+)
+ADVICE = (
+    r"(?i)\btry (?:again|later|once more)|\breload|\brefresh|\b(?:come|check) back|\bcontact (?:the |your |our )?(?:site |system )?(?:administrator|support|help)|\b(?:log|sign) ?in again|\bgo back|\breturn to the (?:home|previous|start)"
+    r"|稍后|重试|刷新|重新(?:登录|加载|打开)|返回(?:首页|上一页|主页)|联系(?:站点|网站|系统)?(?:管理员|客服|技术支持)"
+)
+SITE = r"(?i)\b(?:web ?page|page|website|site|server|request|link|url|browser|session|account|network|resource)s?\b|页面|网页|链接|服务器|请求|浏览器|会话|网站|网络|网址|资源|账号|站点"
+#: Words of somebody who tells of such messages rather than gives one.
+TOLD = r"(?i)学员|同学|考生|用户反馈|反馈|本题|例如|比如|练习|课上|选项|应先|说明|\b(?:learner|student|trainee|crew|operator|team)s?\b|for example|\bmeans\b|\bexplain"
+STOP = "the and for you your our this that with from not are was were has have been will can please www com html htm php index weekly daily brief briefing forum lesson review handout explain post item article".split()
 LOW_INFORMATION = 300
-SEVERAL_DOCUMENTS, SEVERAL_HOSTS = 3, 2
+#: Characters that may be left besides the response; points that decide; share of the pages.
+LEFT, POINTS, SHARE = 80, 3, 0.01
 
 
 def _holds(texts: tuple[str, ...], where: Column) -> Column:
@@ -155,35 +173,58 @@ def detected(documents: DataFrame) -> DataFrame:
 
 
 def _terms(c: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"[a-z]{3,}|[一-鿿]"), F.lit(0)))
+    """Latin words but stop words, and Han bigrams: pairs from the first and from the second character of each run."""
+    c = F.lower(c)
+    words = F.array_except(F.regexp_extract_all(c, F.lit(r"(?<![a-z0-9])([a-z]{3,})(?![a-z0-9])"), F.lit(1)), F.array(*map(F.lit, STOP)))
+    pairs = [F.regexp_extract_all(s, F.lit("([一-鿿]{2})"), F.lit(1)) for s in (c, F.regexp_replace(c, "(?<![一-鿿])[一-鿿]", ""))]
+    return F.array_union(words, F.array_union(*pairs))
+
+
+def _agreement(head: Column, body: Column, least: int) -> Column:
+    """1 if ``head`` shares no content term with ``body``, -1 if it does, 0 if they can't be compared."""
+    terms = _terms(head)
+    comparable = (head.rlike(r"(?i)[a-z]{3}") & body.rlike(r"(?i)[a-z]{3}")) | (head.rlike("[一-鿿]{2}") & body.rlike("[一-鿿]{2}"))
+    return F.when((F.size(terms) < least) | ~comparable, 0).when(F.arrays_overlap(terms, _terms(body)), -1).otherwise(1)
 
 
 def judged(documents: DataFrame) -> DataFrame:
-    """``doc_id, sure, host, shell``: one pass over the texts.
+    """``doc_id, host, sure, body``: one pass over the texts.
 
-    ``sure`` if a detector is; else ``shell`` is the hash of the masked text of
-    a response of little information with a weak word, unlike slug and title.
+    ``sure`` if a detector is; else ``body`` is a short text, without the lines
+    of its site, that says what a response says; null for all other texts.
     """
     rows = detected(documents).withColumn("sure", F.col("slot") | F.col("stand_in") | F.col("error") | F.col("script"))
-    body = F.trim(F.regexp_replace("said", CHROME, ""))
     short = ~F.col("sure") & (F.length("said") <= LOW_INFORMATION)
-    rows = rows.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), "sure", F.when(short, body).alias("body"))
-    title = F.substring_index("body", "\n", 1)
-    rest = F.substring(F.col("body"), F.length(title) + 1, F.length("body"))
-    unlike = ~F.arrays_overlap(_terms(F.col("host")), _terms(F.col("body"))) & ((F.trim(rest) == "") | ~F.arrays_overlap(_terms(title), _terms(rest)))
-    masked = F.regexp_replace(F.lower(F.col("body")), r"[\p{N}]+|[a-z]{2}-#", "#")
-    weak = F.col("body").isNotNull() & F.col("body").rlike(WEAK)
-    return rows.select("doc_id", "host", "sure", F.when(weak & F.coalesce(unlike, F.lit(True)), F.xxhash64(masked)).alias("shell"))
+    body = F.when(short & F.col("said").rlike(INABILITY), F.trim(F.regexp_replace("said", CHROME, "")))
+    return rows.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), "sure", body.alias("body"))
+
+
+def weighed(rows: DataFrame) -> DataFrame:
+    """``doc_id, host, points, shell, title`` of the judged rows with a body: its evidence, and hashes of its masked text and of its title."""
+    bare = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, INABILITY, " "), ADVICE, " "), APOLOGY, " "), SITE, " ")
+    masked = lambda c: F.xxhash64(F.regexp_replace(F.lower(c), r"[\p{N}]+|[a-z]{2}-#", "#"))
+    rows = rows.filter(F.col("body").isNotNull()).withColumn("line", F.substring_index("body", "\n", 1))
+    rest = F.trim(F.substring(F.col("body"), F.length("line") + 1, F.length("body")), F.lit(" \n\r\t"))
+    rows = rows.withColumn("rest", rest).withColumns({"head": F.when(F.col("rest") != "", F.col("line")).otherwise(""), "rest": F.when(F.col("rest") != "", F.col("rest")).otherwise(F.col("body"))})
+    rows = rows.withColumns({"left": bare(F.col("rest")), "named": bare(F.col("head"))})
+    held = lambda p: F.when(F.col("body").rlike(p), 1).otherwise(0)
+    points = F.lit(1) + held(APOLOGY) + held(ADVICE) + held(SITE) - held(TOLD) - F.when(F.length("left") > LEFT, 1).otherwise(0)
+    points = points + _agreement(F.col("host"), F.col("left"), 2) + _agreement(F.col("named"), F.col("left"), 1)
+    return rows.select("doc_id", "host", points.alias("points"), masked(F.col("rest")).alias("shell"), masked(F.col("head")).alias("title"))
 
 
 def marked(documents: DataFrame) -> DataFrame:
     """``doc_id`` of the documents that are or hold residue."""
     rows = durable(judged(documents), "p9-judged")
-    # Filtered after the write: a pushed-down filter would repeat every expression.
-    weak = rows.filter(F.col("shell").isNotNull())
-    per_host = weak.groupBy("shell", "host").agg(F.count("*").alias("n"))
-    shells = per_host.groupBy("shell").agg(F.sum("n").alias("docs"), F.count("*").alias("hosts")).filter((F.col("docs") >= SEVERAL_DOCUMENTS) & (F.col("hosts") >= SEVERAL_HOSTS))
-    return rows.filter("sure").select("doc_id").unionByName(weak.join(shells, "shell").select("doc_id")).distinct()
+    # Filtered after the writes: a pushed-down filter would repeat every expression.
+    short = durable(weighed(rows), "p9-weighed")
+    weak = short.filter(F.col("points") == POINTS - 1)
+    given = short.filter(F.col("points") >= POINTS - 1).groupBy("shell", "host").agg(F.count("*").alias("n"), (F.min("title") != F.max("title")).alias("titles"))
+    pages = rows.groupBy("host").agg(F.count("*").alias("pages"))
+    shells = given.join(pages, "host").groupBy("shell").agg((F.sum("n") / F.sum("pages")).alias("share"), ((F.count("*") > 1) | F.max("titles")).alias("several"))
+    shells = shells.filter(F.col("several") & (F.col("share") >= SHARE))
+    sure = rows.filter("sure").select("doc_id").unionByName(short.filter(F.col("points") >= POINTS).select("doc_id"))
+    return sure.unionByName(weak.join(shells, "shell", "left_semi").select("doc_id")).distinct()
 
 
 def content(documents: DataFrame) -> DataFrame:
