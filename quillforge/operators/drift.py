@@ -167,19 +167,19 @@ def schema_changes(sheet_rows: DataFrame, aliases: DataFrame) -> DataFrame:
 def consistent_table(sheet_rows: DataFrame, aliases: DataFrame) -> DataFrame:
     """Every body row in one schema.
 
-    ``category`` and ``difficulty`` change between words and numbers, so each
-    has a text and a number column.  In a file where most values of such a
-    field are numbers, a value that isn't one is listed in ``failed_casts``;
-    its text is kept.
+    A field's values change between words and numbers, so each of ``FIELDS``
+    has a text and a number column.  In a file where most values of a field
+    are numbers, a value that isn't one is listed in ``failed_casts``; its
+    text is kept.
     """
     body = body_rows(sheet_rows, aliases)
-    profiles = file_profiles(body).select("file_id", *(((F.col(f"{f}.numeric") * 2) > F.col(f"{f}.filled")).alias(f"num_{f}") for f in ("category", "difficulty")))
+    profiles = file_profiles(body).select("file_id", *(((F.col(f"{f}.numeric") * 2) > F.col(f"{f}.filled")).alias(f"num_{f}") for f in FIELDS))
     salts = 16
     rows = body.filter("is_body").withColumn("salt", F.pmod(F.hash("row_num"), F.lit(salts)))
     profiles = profiles.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("file_id", "profile_id")
     joined = rows.join(profiles, (F.col("file_id").eqNullSafe(F.col("profile_id"))) & (rows["salt"] == profiles["salt"]), "left")
     text = {f: F.nullif(F.col(f"v_{f}"), F.lit("")) for f in ALL_FIELDS}
-    number = {f: F.when(F.col(f"num_{f}") & text[f].rlike(NUMBER), text[f].cast("double")) for f in ("category", "difficulty")}
+    number = {f: F.when(F.col(f"num_{f}") & text[f].rlike(NUMBER), text[f].cast("double")) for f in FIELDS}
     failed = F.filter(
         F.array(*(F.when(F.col(f"num_{f}") & text[f].isNotNull() & ~text[f].rlike(NUMBER), F.lit(f)) for f in number)),
         lambda x: x.isNotNull(),

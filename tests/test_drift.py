@@ -66,3 +66,14 @@ def test_one_table(spark, aliases):
         (4, "C", "难", None, "difficulty"),
     ]
     assert len(got[0].stem) == 30_000
+
+
+def test_every_field_is_typed(spark, aliases):
+    """Numbers and failed casts of answers and stems, not only of category and difficulty."""
+    lines = [(1, HEAD), (2, {3: "10", 4: "1", 5: "易"}), (3, {3: "11", 4: "2.5", 5: "难"}), (4, {3: "问", 4: "对", 5: "难"})]
+    got = drift.consistent_table(rows(spark, {1: ("f", 1, lines)}), aliases).orderBy("row_num").collect()
+    assert [(r.stem_number, r.answer_number, r.difficulty_number, r.answer, r.failed_casts) for r in got] == [
+        (10.0, 1.0, None, "1", ""),
+        (11.0, 2.5, None, "2.5", ""),
+        (None, None, None, "对", "stem,answer"),
+    ]
