@@ -172,6 +172,11 @@ def rejected(raw: DataFrame) -> DataFrame:
     return judged(parse_lines(raw)).filter(F.col("reason").isNotNull()).select("line_id", "reason")
 
 
+def located(raw: DataFrame) -> DataFrame:
+    """``line_id, record_start, error_at, reason`` of every record of texts that may hold several, valid ones with a null reason."""
+    return judged(parse_files(raw)).select("line_id", "record_start", "error_at", "reason")
+
+
 def accepted(raw: DataFrame) -> DataFrame:
     """The valid lines as typed question rows."""
     df = judged(parse_lines(raw)).filter(F.col("reason").isNull())

@@ -24,7 +24,11 @@ def p5_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rowparse.accepted(table(spark, sf_dir, "raw_line"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_table": p3_table, "p5_found": p5_found, "p5_valid": p5_valid}
+def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rowparse.located(table(spark, sf_dir, "raw_line"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_table": p3_table, "p5_found": p5_found, "p5_valid": p5_valid, "p5_records": p5_records}
 
 # The wide forms, for the other engine.
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"

@@ -97,3 +97,13 @@ def test_never_fails(text):
 def test_long_text_is_linear():
     rowparse.RecordParser(",").record('"' + 'a""' * 200_000 + '"', 0)
     assert pytest.approx(1) == 1
+
+
+def test_records_after_a_broken_quote_are_judged(spark):
+    from quillforge.plans.problems import QUERIES
+
+    text = sheet("2") + "\n" + sheet("3", options=('"broken', "z")) + "\n" + sheet("4", answer="C") + "\n" + sheet("5")
+    raw = spark.createDataFrame([(1, text, ",")], "line_id bigint, line_text string, delim string")
+    got = rowparse.located(raw).orderBy("record_start").collect()
+    assert [r.reason for r in got] == [None, "quoting", "answers", None] and text[got[1].error_at :].startswith('"broken')
+    assert "p5_records" in QUERIES
