@@ -826,3 +826,16 @@ def progress_stream(spark, d):
     counts = ps.running_counts(ps.read_events(spark, d))
     name = f"progress_{uuid4().hex}"
     return ps.run_to_table(counts, name, checkpoint=f"{shared_dir(spark)}/{name}").select("question_id", "attempts", "correct", "wrong", "starred")
+
+
+@query(f"SELECT question_id, attempts, correct, wrong, starred FROM ({_FOLD}) p")
+def progress_stream_fold(spark, d):
+    """The fold with drops and resets, kept up to date by the stream."""
+    from uuid import uuid4
+
+    from quillforge.sources.datasets import read_snapshot
+    from quillforge.streaming import progress_stream as ps
+
+    base = f"{shared_dir(spark)}/progress-{uuid4().hex}"
+    ps.merge_into_snapshot(ps.running_state(ps.read_events(spark, d)), f"{base}/store", f"{base}/check").awaitTermination()
+    return read_snapshot(spark, f"{base}/store").filter("live > 0").select("question_id", "attempts", "correct", "wrong", "starred")

@@ -2,13 +2,16 @@
 
 ``running_counts`` is a declarative fold in complete mode: redelivered events
 are dropped within a watermark and counts are grouped by question.  Resets and
-drops restart counters, which depends on order, so ``running_state`` keeps the
-order-free part of the state per question (for each counter, the newest stamp
-seen of drop and reset and the counts after it) and re-emits it when it changes.
+drops restart counters, which depends on order, so ``running_state`` keeps per
+question the newest stamps (ts, seq, event_id) of drop and reset and the
+stamped events after the drop.  A late drop or reset takes away only what was
+before it, so the order of arrival changes nothing; the state of a question
+holds its events since its last drop.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -53,33 +56,37 @@ def running_counts(stream: DataFrame) -> DataFrame:
     )
 
 
-STATE = "attempts bigint, correct bigint, wrong bigint, stars bigint, dropped timestamp, reset timestamp"
-OUTPUT = "question_id string, attempts bigint, correct bigint, wrong bigint, starred boolean"
+STATE = "kept string"
+OUTPUT = "question_id string, attempts bigint, correct bigint, wrong bigint, starred boolean, live bigint"
 
 
 def _advance(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    attempts, correct, wrong, stars, dropped, reset = state.get if state.exists else (0, 0, 0, 0, None, None)
-    rows = pd.concat(list(batches)).sort_values(["ts", "seq", "event_id"], kind="stable")
-    for kind, right, ts in zip(rows["kind"], rows["correct"], rows["ts"]):
-        if dropped is not None and ts <= dropped:
-            continue
-        if kind == "drop":
-            attempts = correct = wrong = stars = 0
-            dropped = ts
-        elif kind == "reset_wrong":
-            wrong, reset = 0, ts
-        elif kind == "star":
-            stars += 1
-        elif kind == "answer":
-            attempts += 1
-            correct += right is True
-            wrong += right is False and (reset is None or ts > reset)
-    state.update((attempts, correct, wrong, stars, dropped, reset))
-    yield pd.DataFrame({"question_id": [key[0]], "attempts": [attempts], "correct": [correct], "wrong": [wrong], "starred": [stars % 2 == 1]})
+    dropped, reset, live = json.loads(state.get[0]) if state.exists else ([], [], [])
+    for rows in batches:
+        for kind, right, ts, seq, event in zip(rows["kind"], rows["correct"], rows["ts"], rows["seq"], rows["event_id"]):
+            at = [pd.Timestamp(ts).value, int(seq), int(event)]
+            if kind == "drop":
+                dropped = max(dropped, at)
+            else:
+                reset = max(reset, at) if kind == "reset_wrong" else reset
+                live.append([at, kind, None if pd.isna(right) else bool(right)])
+    live = [e for e in live if e[0] > dropped]
+    answers = [(at, right) for at, kind, right in live if kind == "answer"]
+    state.update((json.dumps([dropped, reset, live]),))
+    yield pd.DataFrame(
+        {
+            "question_id": [key[0]],
+            "attempts": [len(answers)],
+            "correct": [sum(right is True for _, right in answers)],
+            "wrong": [sum(right is False and at > reset for at, right in answers)],
+            "starred": [sum(kind == "star" for _, kind, _ in live) % 2 == 1],
+            "live": [len(live)],
+        }
+    )
 
 
 def running_state(stream: DataFrame) -> DataFrame:
-    """State with drops and resets, exact for events in order within and between batches of a question."""
+    """State with drops and resets, whatever the order of arrival; ``live`` is 0 if a drop left nothing."""
     ship(stream.sparkSession)
     rows = once(stream).select("question_id", "kind", "correct", "ts", "seq", "event_id")
     return rows.groupBy("question_id").applyInPandasWithState(_advance, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
