@@ -836,6 +836,6 @@ def progress_stream_fold(spark, d):
     from quillforge.sources.datasets import read_snapshot
     from quillforge.streaming import progress_stream as ps
 
-    base = f"{shared_dir(spark)}/progress-{uuid4().hex}"
+    base = shared_dir(spark).removeprefix("file://") + f"/progress-{uuid4().hex}"
     ps.merge_into_snapshot(ps.running_state(ps.read_events(spark, d)), f"{base}/store", f"{base}/check").awaitTermination()
     return read_snapshot(spark, f"{base}/store").filter("live > 0").select("question_id", "attempts", "correct", "wrong", "starred")
