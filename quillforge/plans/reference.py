@@ -831,11 +831,15 @@ def progress_stream(spark, d):
 @query(f"SELECT question_id, attempts, correct, wrong, starred FROM ({_FOLD}) p")
 def progress_stream_fold(spark, d):
     """The fold with drops and resets, kept up to date by the stream."""
+    from pathlib import Path
     from uuid import uuid4
 
     from quillforge.sources.datasets import read_snapshot
     from quillforge.streaming import progress_stream as ps
 
     base = shared_dir(spark).removeprefix("file://") + f"/progress-{uuid4().hex}"
-    ps.merge_into_snapshot(ps.running_state(ps.read_events(spark, d)), f"{base}/store", f"{base}/check").awaitTermination()
+    # A table is a file or a folder of files, whose names say nothing.
+    folder = f"{d}/progress_events.parquet"
+    stream = ps.read_events(spark, folder, "*.parquet") if Path(folder).is_dir() else ps.read_events(spark, d)
+    ps.merge_into_snapshot(ps.running_state(stream), f"{base}/store", f"{base}/check").awaitTermination()
     return read_snapshot(spark, f"{base}/store").filter("live > 0").select("question_id", "attempts", "correct", "wrong", "starred")
