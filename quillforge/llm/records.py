@@ -51,12 +51,13 @@ def _wrap(a: Column, b: Column) -> Column:
     return F.pmod(a + F.pmod(b, m), m)
 
 
-def fingerprinted(questions: DataFrame) -> DataFrame:
-    """``id, f_stem, f_parts, fp_a, fp_b``: normalized fields and the 122-bit fingerprint."""
+def fingerprinted(questions: DataFrame, *more: Column) -> DataFrame:
+    """``id, f_stem, f_parts, fp_a, fp_b`` and ``more`` columns: normalized fields and the 122-bit fingerprint."""
     base = questions.filter(F.col("id").isNotNull()).select(
         "id",
         counted(F.coalesce("stem", F.lit(""))).alias("f_stem"),
         answer_parts(F.coalesce("answers", F.array().cast("array<string>"))).alias("f_parts"),
+        *more,
     )
 
     def fp(seed: int) -> Column:
