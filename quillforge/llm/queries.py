@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillforge.llm import bpe, canon, lookalike, packing, records, residue, similar
 from quillforge.session import durable, table
@@ -65,6 +66,13 @@ def p9_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.content(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "n_chars")
 
 
+def p9_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents each kind of evidence marks, and how many it alone marks."""
+    found = durable(residue.evidence(table(spark, sf_dir, "documents")), "p9-evidence")
+    alone = found.groupBy("doc_id").agg(F.count("*").alias("kinds"))
+    return found.join(alone, "doc_id").groupBy("kind").agg(F.count("*").alias("documents"), F.count_if(F.col("kinds") == 1).alias("alone"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_unmatched": p1_unmatched,
@@ -79,6 +87,7 @@ QUERIES = {
     "p8_report": p8_report,
     "p9_found": p9_found,
     "p9_content": p9_content,
+    "p9_evidence": p9_evidence,
 }
 
 _BLANK = r"[\p{Z}\t\n\v\f\r\x1C-\x1F\x{85}]"

@@ -7,18 +7,20 @@ or a notice that scripts are needed.  Two kinds of evidence are combined:
 * detectors: patterns that content for a reader does not hold.  Sentences that
   explain a placeholder (what a mark in a mail template stands for, what dummy
   text is used for) are taken out first, so mentioning is not being;
-* evidence for what no detector knows by itself: texts of little information
-  get a point for each of apology, inability, advice and site word they hold,
-  and for a title (first line) or address slug (``source``) that shares no
-  content term with the rest; they lose one where those agree, where the text
-  tells of such messages, and where much is left besides.  Three points make
-  a response; one may be that the same masked text is given for a share of the
-  pages of the hosts that have it, on several hosts or under several titles.
-  Shares, not counts, so that more or repeated rows change nothing.
-
-All patterns run in the JVM; only documents of little information with two
-points or more take part in the aggregation, by a hash of the masked text,
-partially aggregated before the shuffle; pages are counted by host.
+* evidence for what no detector knows by itself, weighed for every line that
+  says what a response says (that something cannot be shown, or that scripts
+  are needed), in texts of any length.  A line gets a point for that and for
+  each of apology, advice and site word it holds, and for a title (the line
+  before it) or address slug (``source``) that shares no content term with it;
+  it loses one where those agree, where it tells of such messages, and where
+  much is left besides.  Three points make a response; one may be that the same masked
+  line is given for a share of the pages of the hosts that have it, on several
+  hosts or under several titles.  Shares, not counts, so that more or repeated
+  rows change nothing.
+
+All patterns run in the JVM; only lines with two points or more take part in
+the aggregation, by a hash of the masked line, partially aggregated before the
+shuffle; pages are counted by host.
 
 Defined cases: null, empty and blank texts and mere scraps are not marked; the
 whole text is searched, whatever its length; repeated texts are each judged,
@@ -36,11 +38,11 @@ from quillforge.session import durable
 # The wordings below are the patterns looked for.
 #: Sentences that explain a placeholder rather than leave one, with a text each must hold.
 EXPLAINED = (
-    ("{{", r"(?:模板|template)[^。\n]{0,20}(?:\{\{[^{}\n]*\}\})[^。\n]{0,60}(?:换成|替换|代表|stands? for|swapped)[^。\n]*"),
-    ("lorem", r"[“\"']lorem ipsum[”\"'][^。.\n]{0,30}(?:假文|dummy|filler)"),
+    ("{{", r"(?:模板|template)[^。\n{}]*+(?:\{\{[^{}\n]*+\}\})[^。\n]*?(?:换成|替换|代表|stands? for|swapped)[^。\n]*"),
+    ("lorem", r"[“\"']lorem ipsum[”\"'][^。.\n]*?(?:假文|dummy|filler)"),
 )
 
-_NAME = r"[\p{L}_][\p{L}\p{N}_. ]{0,40}"
+_NAME = r"[\p{L}_][\p{L}\p{N}_. ]*+"
 _FORM_WORDS = ("姓名", "单位", "公司", "地点", "部门", "日期", "设备名称", "数值", "号码")
 _FORM_NAMES = ("company", "name", "role", "equipment", "date", "place", "department")
 _STATUS = (
@@ -55,32 +57,35 @@ _STATUS = (
     "internal server error",
     "bad gateway",
     "service unavailable",
+    "service temporarily unavailable",
     "gateway timeout",
+    "gateway time-out",
 )
 # Each detector: the lower-cased texts of which a match holds at least one (plain search, cheap), and the pattern.
 # An empty tuple searches every text.
 SLOTS = (
-    (("{{",), r"\{\{[^{}\n]{1,60}\}\}"),
-    (("${", "#{"), r"[$#]\{[^{}\n]{1,60}\}"),
-    (("<%",), r"<%=?[^<>%\n]{1,60}%>"),
-    (("{%",), r"\{%[^{}%\n]{1,60}%\}"),
+    (("{{",), r"\{\{[^{}\n]++\}\}"),
+    (("${", "#{"), r"[$#]\{[^{}\n]++\}"),
+    (("<%",), r"<%=?[^<>%\n]++%>"),
+    (("{%",), r"\{%[^{}%\n]++%\}"),
     (("{",), rf"(?<![$#{{%])\{{{_NAME}\}}"),
     (("«",), rf"«{_NAME}»"),
     (("@@",), rf"@@{_NAME}@@"),
     (("[[",), rf"\[\[{_NAME}\]\]"),
     (("%(",), rf"%\({_NAME}\)[sd]"),
-    (("%",), r"(?<![0-9０-９ ])%[\p{L}_][\p{L}\p{N}_.]{1,40}%|(?:^|(?<= ))%[\p{L}_][\p{L}\p{N}_.]{1,40}%"),
-    (("__",), r"(?<!_)__(?=[\p{L}])[\p{L}\p{N}_.]{0,40}?(?<=[\p{L}\p{N}])__(?!_)"),
-    (("$",), r"\$[\p{L}_][\p{L}\p{N}_.]{1,40}\$"),
-    (("&lt;",), r"&lt;[^&<>\n]{1,40}&gt;"),
-    (("<your ", "<请输入", "<enter ", "<insert "), r"(?i)<(?:your [^<>\n]{1,40}|请输入[^<>\n]{1,40}|(?:enter|insert) [^<>\n]{1,40})>"),
-    (("[insert", "[enter", "[请填写", "[请输入", "[填写", "[此处"), r"(?i)\[(?:insert|enter|请填写|请输入|填写|此处)[^\[\]\n]{0,60}\]"),
-    (("此处", "填写", "请输入", "待填", "待补"), r"[【（(［](?:此处|请?填写|请输入|待填|待补)[^】）)］\n]{1,40}[】）)］]"),
-    (("[单位]", "（单位全称）", "（此处改为"), r"\[单位\]|（单位全称）|（此处改为"),
+    (("%",), r"(?<![0-9０-９ ])%[\p{L}_][\p{L}\p{N}_.]++%|(?:^|(?<= ))%[\p{L}_][\p{L}\p{N}_.]++%|%[A-Z]{2,}(?:[ _][A-Z]+)*+%"),
+    (("__",), r"(?<!_)__(?=[\p{L}])[\p{L}\p{N}_.]*?(?<=[\p{L}\p{N}])__(?!_)"),
+    (("$",), r"\$[\p{L}_][\p{L}\p{N}_.]++\$|(?<![\p{L}\p{N}])\$[A-Z][A-Z_]{2,}+(?![\p{L}\p{N}])"),
+    (("&lt;",), r"&lt;[^&<>\n]++&gt;"),
+    (("<your ", "<请输入", "<enter ", "<insert "), r"(?i)<(?:your |请输入|enter |insert )[^<>\n]++>"),
+    (("[",), r"(?i)\[(?:insert|enter|your|请填写|请输入|填写|此处)[^\[\]\n]*+\]|(?-i)\[[A-Z]{4,}(?:[ _-][A-Z]+)*+\]|\[[A-Z]{2,}(?:[ _-][A-Z]{2,})++\]"),
+    (("此处", "填写", "请输入", "待填", "待补"), r"[【（(［](?:此处|请?填写|请输入|待填|待补)[^】）)］\n]++[】）)］]"),
+    (tuple(f"{o}{w}" for w in _FORM_WORDS for o in "[【"), rf"[\[【](?:{'|'.join(_FORM_WORDS)})(?:名称|全称)?[\]】]"),
+    (("全称）", "全称)"), r"[（(][\p{IsHan}]{2,6}全称[）)]"),
     (("todo", "tbd", "fixme"), r"(?:TODO|TBD|FIXME)\s*[:：]"),
     (("firstname", "lastname", "000-000", "dd/mm/yyyy", "yyyy-mm-dd"), r"FIRSTNAME|LASTNAME|\b000-000-?0000|DD/MM/YYYY|(?i:yyyy-mm-dd)"),
-    (tuple(f"（{w}）" for w in _FORM_WORDS), rf"（(?:{'|'.join(_FORM_WORDS)})）[^（）\n]{{0,12}}（(?:{'|'.join(_FORM_WORDS)})）"),
-    (tuple(f"({w})" for w in _FORM_NAMES), rf"(?i)\((?:{'|'.join(_FORM_NAMES)})\)[^()\n]{{0,30}}\((?:{'|'.join(_FORM_NAMES)})\)"),
+    (tuple(f"（{w}）" for w in _FORM_WORDS), rf"（(?:{'|'.join(_FORM_WORDS)})）[^（）\n]*+（(?:{'|'.join(_FORM_WORDS)})）"),
+    (tuple(f"({w})" for w in _FORM_NAMES), rf"(?i)\((?:{'|'.join(_FORM_NAMES)})\)[^()\n]*+\((?:{'|'.join(_FORM_NAMES)})\)"),
     (("x公司", "×公司", "＿公司", "？公司", "*公司", "某公司", "xxxx ltd"), r"(?:XX+|××+|＿＿+|？？+|\*\*\*|某某某?)公司|XXXX Ltd"),
     (("20xx", "××年", "×月×日", "1xxxxxx"), r"20XX ?年|××年|×月×日|1X{6,}"),
     (("联系人", "电话", "地点"), r"(?:联系人|电话|地点)[:：](?:XX|××|＿＿|？？|某某|\*\*|（号码）|000-0)"),
@@ -88,32 +93,41 @@ SLOTS = (
 STAND_INS = (
     (
         ("ipsum", "lorem", "dolor", "amet"),
-        r"(?i)\b(?:lorem|ipsum|dolor|amet)\b(?:[ ,]+[a-z]+){0,4}?[ ,]+(?:lorem|ipsum|dolor|sit|amet)\b(?:[ ,]+[a-z]+){0,4}?[ ,]+(?:lorem|ipsum|dolor|sit|amet)\b",
+        r"(?i)\b(?:lorem|ipsum|dolor|amet)\b(?:[ ,]+[a-z]+){0,4}?[ ,]+(?:lorem|ipsum|dolor|sit|amet)\b(?:[ ,]+[a-z]+){0,4}?[ ,]+(?:lorem|ipsum|dolor|sit|amet)\b|(?<![“\"'‘])\blorem ipsum\b(?![”\"'’])",
     ),
-    (("placeholder", "dummy", "filler"), r"(?i)\b(?:placeholder|dummy|filler) (?:copy|text)\s*:"),
-    ((), ("占位文字", "图片占位", "正文略", "模板保留行", "稍后填写", "内容待定", "内容待补", "此处待补充", "这里是正文", "编者：", "请替换")),
+    (("placeholder", "dummy", "filler", "sample"), r"(?i)\b(?:placeholder|dummy|filler|sample) (?:copy|text)(?:\s*:| here\b| goes\b)"),
+    ((), ("占位文字", "图片占位", "正文略", "稍后填写", "内容待定", "内容待补", "此处待补充", "这里是正文", "编者：", "请替换")),
+    (("模板", "template"), r"(?:模板|示例)(?:保留|占位|待删)[行段项]?|(?:[（(【\[]此处|此处)(?:改为|改成|换成|替换为)|(?i)\b(?:keep|remove|delete) this (?:line|paragraph|text|section|page) (?:in|from|before)\b"),
+    (("此处改", "此处换", "此处替"), r"[（(【\[]此处(?:改为|改成|换成|替换为)"),
     (
-        ("goes here", " here", ">>>", "to be placed)", "keep this line"),
-        r"(?i)your text (?:about [^.\n]{1,60} )?goes here|\binsert [^\]\n]{1,60} here\b|>>> ?add [^<\n]{1,60}<<<|to be placed\)|keep this line in the template",
+        (" here", ">>>", " to be ", "replace ", " edit "),
+        r"(?i)\b(?:your|more|some) (?:own )?(?:text|content|title|copy) (?:about [^.\n]*? )?(?:goes )?here\b|\binsert [^\]\n.]*? here\b|>>> ?add [^<\n]*+<<<|\((?:image|photo|picture|figure|logo|chart|drawing)[^()\n]* to be (?:placed|added|inserted|supplied)\)"
+        r"|\breplace (?:this |it )?with your (?:own )?(?:text|content|copy)|\bclick (?:here )?to (?:edit|add) (?:this |your )?(?:text|title|content)|\b(?:type|enter|add) your (?:text|title|content)\b",
     ),
     ((), r"(\p{L}[\p{L}\p{N}]{1,2}[ 0-9]{0,6}?)\1{3,}|(\p{L}[\p{L}\p{N}]{3,7}[ 0-9]{0,6}?)\2{2,}"),
-    (("标题一",), r"标题一\s*标题二"),
+    (("一", "1"), r"(标题|段落|正文|文本|小标题)[一1]\s*\1[二2]"),
 )
 ERRORS = (
     (
         ("traceback", "file \"", "exception", "error: ", "java.lang."),
         r"Traceback \(most recent call last\)|File \"[^\"\n]+\", line [0-9]+|\b[\p{L}.]+(?:Exception|Error): |java\.lang\.[\p{L}]+(?:Exception|Error)",
     ),
-    ((".java:",), r"\bat [\p{L}\p{N}_.$]+\([\p{L}\p{N}_]+\.java:[0-9]+\)"),
-    (("sql error", "undefined", "http status"), r"(?i)SQL error near|Undefined (?:variable|index|offset)|HTTP Status [45][0-9][0-9]"),
+    # Stack frames of any language; what programs say when they stop.
+    ((":",), r"\bat [\p{L}\p{N}_.$<>/]+ ?\([^()\s]+:[0-9]+(?::[0-9]+)?\)"),
+    (("fatal", "uncaught", "unhandled", "parse error", "syntax error", "segmentation"), r"(?i)\b(?:fatal|parse|syntax) error: |\b(?:uncaught|unhandled) (?:\p{L}*(?:error|exception)|promise rejection)\b|\bsegmentation fault\b"),
+    (("sql error", "undefined", "http status", "http error"), r"(?i)SQL error near|Undefined (?:variable|index|offset)|HTTP (?:Status|Error) [45][0-9][0-9]"),
+    # A status code and its reason, in either order; either alone only as the beginning or the whole of a line.
     (_STATUS, rf"(?i)\b[45][0-9][0-9][ |–-]{{1,4}}(?:{'|'.join(_STATUS)})"),
     (_STATUS, rf"(?i)(?:{'|'.join(_STATUS)}) ?[|–-] ?[45][0-9][0-9]\b"),
+    (_STATUS, rf"(?im)^[^\S\n]*(?:{'|'.join(x for x in _STATUS if ' ' in x)}|page not found)[^\S\n]*[.!]?[^\S\n]*$"),
+    (("error 4", "error 5", "error: 4", "error: 5"), r"(?im)^[^\S\n]*error:? [45][0-9][0-9]\b(?! means| is )"),
+    (("just a moment", "your browser before", "human"), r"(?im)^[^\S\n]*just a moment\b[^\p{L}\n]*$|\bchecking your browser before\b|\bverify (?:that )?you are (?:a )?human\b"),
     (
         ("access denied", "may not open", "could not load", "oops", "something went", "on this server"),
-        r"Access denied\.|may not open this|We could not load|(?i:oops!)|Something went wrong|The address you asked for is not on this server",
+        r"Access denied\.|may not open this|We could not load|(?i:oops!)|Something went wrong|\b(?:is|was) not (?:found )?on this server",
     ),
     ((), ("系统繁忙", "请稍后再试", "加载失败", "点击重试", "没有权限访问", "会话已过期", "登录超时", "请重新登录", "页面走丢", "已被删除或下架", "秒后自动跳转", "页面不存在", "开小差")),
-    (("错误代码", "错误号"), r"[（(]错误代码[:：] ?[0-9]{3}[）)]|错误号 ?E[0-9]+ ?请求编号"),
+    (("错误代码", "错误号", "错误码"), r"[（(]错误(?:代码|号|码)[:：] ?[0-9]{3}[）)]|错误(?:代码|号|码)[:： ]*[A-Z]?[0-9]+\s*(?:请求|追踪|事件|日志)(?:编号|号)"),
 )
 SCRIPTS = (
     (
@@ -124,8 +138,8 @@ SCRIPTS = (
 )
 GROUPS = {"slot": SLOTS, "stand_in": STAND_INS, "error": ERRORS, "script": SCRIPTS}
 
-#: Lines that pages of a site carry around their content.
-CHROME = r"(?m)^[^\S\n]*(?:©[^\n]{0,30}|[^\n|]{1,12}(?: \| [^\n|]{1,12}){2,}|Home  Papers  Sign in|Skip to content|首页 题库 我的)[^\S\n]*$"
+#: Lines that pages of a site carry around their content: a copyright, a menu of three entries or more.
+CHROME = r"^\s*(?:©.*|[^|]{1,12}(?: \| [^|]{1,12}){2,}|\p{L}[\p{L} ]*?(?:  \p{L}[\p{L} ]*?){2,}|(?i:skip to content)|\p{IsHan}{2,4}(?: \p{IsHan}{1,4}){2,})\s*$"
 # What a response says, by kind: each kind counts once. Inability is what any response holds.
 APOLOGY = r"(?i)\bsorry\b|\bapologi[sz]e|\bunfortunately\b|\bwhoops\b|抱歉|对不起|不好意思|很遗憾"
 INABILITY = (
@@ -133,17 +147,22 @@ INABILITY = (
     r"|\b(?:is|are) (?:currently |temporarily |not )?(?:unavailable|available|down|offline)\b|\bno longer (?:available|exists?)|\bdoes not exist|\bhas (?:expired|timed out|been (?:removed|moved|deleted))"
     r"|\b(?:not (?:allowed|permitted|authori[sz]ed)|permission) to (?:view|open|see|access)|无法(?:访问|显示|打开|加载|连接|完成|提供|处理|获取|读取|响应)"
     r"|(?:加载|访问|请求|连接|提交|读取|获取|打开|登录|响应)(?:失败|超时|出错|异常)|(?:页面|网页|链接|内容|资源|地址)[^。\n]{0,6}(?:不存在|已?(?:下线|失效|过期|删除|移除))|暂时?(?:不可用|未开放)|(?:没有|无|未获)[^。\n]{0,12}权限|找不到|拒绝访问|维护中|正在维护"
+    r"|\b(?:requires?|needs?|enable|turn on|switch on|allow|without|support) (?:java ?)?(?:scripts?|scripting)\b|(?:启用|打开|开启|需要|要有)[^。\n]{0,6}(?:JavaScript|脚本)"
 )
+#: Lower-cased texts of which every line that matches holds one.
+INABILITY_NEEDS = (
+    "can", "could", "unable to", "failed to", "available", "down", "offline", "longer", "exist", "expired", "timed out", "been ", "allowed", "permi", "authori", "script",
+    "无法", "失败", "超时", "出错", "异常", "不存在", "下线", "失效", "过期", "删除", "移除", "不可用", "未开放", "权限", "找不到", "拒绝访问", "维护",
+)
 ADVICE = (
     r"(?i)\btry (?:again|later|once more)|\breload|\brefresh|\b(?:come|check) back|\bcontact (?:the |your |our )?(?:site |system )?(?:administrator|support|help)|\b(?:log|sign) ?in again|\bgo back|\breturn to the (?:home|previous|start)"
     r"|稍后|重试|刷新|重新(?:登录|加载|打开)|返回(?:首页|上一页|主页)|联系(?:站点|网站|系统)?(?:管理员|客服|技术支持)"
 )
-SITE = r"(?i)\b(?:web ?page|page|website|site|server|request|link|url|browser|session|account|network|resource)s?\b|页面|网页|链接|服务器|请求|浏览器|会话|网站|网络|网址|资源|账号|站点"
+SITE = r"(?i)\b(?:web ?page|page|website|site|server|request|link|url|browser|session|account|network|resource|(?:java)?script)s?\b|脚本|页面|网页|链接|服务器|请求|浏览器|会话|网站|网络|网址|资源|账号|站点"
 #: Words of somebody who tells of such messages rather than gives one.
 TOLD = r"(?i)学员|同学|考生|用户反馈|反馈|本题|例如|比如|练习|课上|选项|应先|说明|\b(?:learner|student|trainee|crew|operator|team)s?\b|for example|\bmeans\b|\bexplain"
 STOP = "the and for you your our this that with from not are was were has have been will can please www com html htm php index weekly daily brief briefing forum lesson review handout explain post item article".split()
-LOW_INFORMATION = 300
-#: Characters that may be left besides the response; points that decide; share of the pages.
+#: Characters that may be left of a line besides the response; points that decide; share of the pages.
 LEFT, POINTS, SHARE = 80, 3, 0.01
 
 
@@ -188,43 +207,62 @@ def _agreement(head: Column, body: Column, least: int) -> Column:
 
 
 def judged(documents: DataFrame) -> DataFrame:
-    """``doc_id, host, sure, body``: one pass over the texts.
+    """``doc_id, host, slot, stand_in, error, script, body``: one pass over the texts.
 
-    ``sure`` if a detector is; else ``body`` is a short text, without the lines
-    of its site, that says what a response says; null for all other texts.
+    ``body`` is the text if it says somewhere what a response says, else null.
     """
-    rows = detected(documents).withColumn("sure", F.col("slot") | F.col("stand_in") | F.col("error") | F.col("script"))
-    short = ~F.col("sure") & (F.length("said") <= LOW_INFORMATION)
-    body = F.when(short & F.col("said").rlike(INABILITY), F.trim(F.regexp_replace("said", CHROME, "")))
-    return rows.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), "sure", body.alias("body"))
+    rows = detected(documents)
+    said = F.col("said")
+    body = F.when(_holds(INABILITY_NEEDS, F.lower(said)) & said.rlike(INABILITY), said)
+    return rows.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), *GROUPS, body.alias("body"))
 
 
 def weighed(rows: DataFrame) -> DataFrame:
-    """``doc_id, host, points, shell, title`` of the judged rows with a body: its evidence, and hashes of its masked text and of its title."""
+    """``doc_id, host, words, slug, named, shell, title`` of each line that may be a response.
+
+    The points of its words, 1, 0 or -1 for slug and title, and hashes of the
+    masked line and of its title: the line before it that ends no sentence.
+    """
     bare = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, INABILITY, " "), ADVICE, " "), APOLOGY, " "), SITE, " ")
     masked = lambda c: F.xxhash64(F.regexp_replace(F.lower(c), r"[\p{N}]+|[a-z]{2}-#", "#"))
-    rows = rows.filter(F.col("body").isNotNull()).withColumn("line", F.substring_index("body", "\n", 1))
-    rest = F.trim(F.substring(F.col("body"), F.length("line") + 1, F.length("body")), F.lit(" \n\r\t"))
-    rows = rows.withColumn("rest", rest).withColumns({"head": F.when(F.col("rest") != "", F.col("line")).otherwise(""), "rest": F.when(F.col("rest") != "", F.col("rest")).otherwise(F.col("body"))})
-    rows = rows.withColumns({"left": bare(F.col("rest")), "named": bare(F.col("head"))})
-    held = lambda p: F.when(F.col("body").rlike(p), 1).otherwise(0)
-    points = F.lit(1) + held(APOLOGY) + held(ADVICE) + held(SITE) - held(TOLD) - F.when(F.length("left") > LEFT, 1).otherwise(0)
-    points = points + _agreement(F.col("host"), F.col("left"), 2) + _agreement(F.col("named"), F.col("left"), 1)
-    return rows.select("doc_id", "host", points.alias("points"), masked(F.col("rest")).alias("shell"), masked(F.col("head")).alias("title"))
+    lines = F.filter(F.transform(F.split("body", r"[\r\n]+"), lambda x: F.trim(x)), lambda x: (x != "") & ~x.rlike(CHROME))
+    rows = rows.filter(F.col("body").isNotNull()).select("doc_id", "host", lines.alias("lines"))
+    rows = rows.select("doc_id", "host", "lines", F.posexplode("lines").alias("i", "line")).filter(F.col("line").rlike(INABILITY))
+    before = F.when(F.col("i") > 0, F.get("lines", F.col("i") - 1))
+    rows = rows.withColumn("head", F.when(~before.rlike(r"[。.!?！？；;：:，,]\s*$"), before).otherwise("")).withColumn("head", F.coalesce("head", F.lit(""))).drop("lines")
+    rows = rows.withColumns({"left": bare(F.col("line")), "of_title": bare(F.col("head"))})
+    held = lambda p: F.when(F.col("line").rlike(p), 1).otherwise(0)
+    words = F.lit(1) + held(APOLOGY) + held(ADVICE) + held(SITE) - held(TOLD) - F.when(F.length("left") > LEFT, 1).otherwise(0)
+    return rows.select(
+        "doc_id", "host", words.alias("words"), _agreement(F.col("host"), F.col("left"), 2).alias("slug"), _agreement(F.col("of_title"), F.col("left"), 1).alias("named"), masked(F.col("line")).alias("shell"), masked(F.col("head")).alias("title")
+    )
 
 
-def marked(documents: DataFrame) -> DataFrame:
-    """``doc_id`` of the documents that are or hold residue."""
+def evidence(documents: DataFrame) -> DataFrame:
+    """``doc_id, kind``: each marked document with every kind of evidence that alone would mark it.
+
+    ``slot``, ``stand_in``, ``error``, ``script``: a detector; ``words``: a line
+    of three points by its words; ``mismatch``: with those of title and slug;
+    ``repeated``: with that of being given for a share of the hosts' pages.
+    """
     rows = durable(judged(documents), "p9-judged")
     # Filtered after the writes: a pushed-down filter would repeat every expression.
-    short = durable(weighed(rows), "p9-weighed")
-    weak = short.filter(F.col("points") == POINTS - 1)
-    given = short.filter(F.col("points") >= POINTS - 1).groupBy("shell", "host").agg(F.count("*").alias("n"), (F.min("title") != F.max("title")).alias("titles"))
+    lines = durable(weighed(rows).withColumn("points", F.col("words") + F.col("slug") + F.col("named")), "p9-weighed")
+    given = lines.filter(F.col("points") >= POINTS - 1).select("shell", "host", "title", "doc_id").distinct()
+    given = given.groupBy("shell", "host").agg(F.count_distinct("doc_id").alias("n"), (F.min("title") != F.max("title")).alias("titles"))
     pages = rows.groupBy("host").agg(F.count("*").alias("pages"))
     shells = given.join(pages, "host").groupBy("shell").agg((F.sum("n") / F.sum("pages")).alias("share"), ((F.count("*") > 1) | F.max("titles")).alias("several"))
     shells = shells.filter(F.col("several") & (F.col("share") >= SHARE))
-    sure = rows.filter("sure").select("doc_id").unionByName(short.filter(F.col("points") >= POINTS).select("doc_id"))
-    return sure.unionByName(weak.join(shells, "shell", "left_semi").select("doc_id")).distinct()
+    found = rows.select("doc_id", F.explode(F.filter(F.array(*(F.when(F.col(g), F.lit(g)) for g in GROUPS)), lambda g: g.isNotNull())).alias("kind"))
+    by_words = lines.filter((F.col("points") >= POINTS) & (F.col("words") >= POINTS)).select("doc_id", F.lit("words").alias("kind"))
+    by_mismatch = lines.filter((F.col("points") >= POINTS) & (F.greatest("slug", "named") > 0)).select("doc_id", F.lit("mismatch").alias("kind"))
+    repeated = lines.filter(F.col("points") >= POINTS - 1).join(shells, "shell", "left_semi").select("doc_id", F.lit("repeated").alias("kind"))
+    return found.unionByName(by_words).unionByName(by_mismatch).unionByName(repeated).distinct()
+
+
+def marked(documents: DataFrame) -> DataFrame:
+    """``doc_id`` of the documents that are or hold residue."""
+    return evidence(documents).select("doc_id").distinct()
 
 
 def content(documents: DataFrame) -> DataFrame:

@@ -46,6 +46,46 @@ CONTENT = [
 ]
 
 
+# Common wordings, each on a host of its own.
+COMMON = [
+    "Hello [FIRST NAME], thank you for your order.",
+    "Dear %FIRST NAME%, your lesson starts soon.",
+    "Welcome to $NAME and have fun.",
+    "Lorem ipsum",
+    "HTTP ERROR 500",
+    "Error 404: page could not be found",
+    "Service Temporarily Unavailable",
+    "Checking your browser before accessing the site.",
+    "Just a moment...",
+    "Sample text here. Replace with your content.",
+    "Click here to edit this text",
+    "Fatal error: Uncaught TypeError in /srv/www/index.php:12",
+    "Uncaught ReferenceError: lesson is not defined\n    at render (app.js:10:5)",
+    "Please verify you are human to continue.",
+    "The lesson on valves.\n" + "阀门检修应先泄压再拆卸。" * 60 + "\nSorry, this page cannot be displayed. Try again later.",
+    "{{" + "long slot name " * 20 + "}}",
+]
+NOT_RESIDUE = [
+    "The standard [GB] and the notes [12], [A] apply; gloves cost $9 or 5% more.",
+    "An error 404 means that a page was not found; the trainee looks it up.",
+    "A moment later the crew moved on. Just a moment of care saves a hand.",
+    "第 404 号令、503 室与 [TBM] 表均已归档。",
+    "Stop at the gate (shift: 10:30) and report at 08:15.",
+]
+
+
+def test_common_wordings(spark):
+    assert marked(spark, frame(spark, COMMON + NOT_RESIDUE)) == set(range(len(COMMON)))
+
+
+def test_evidence_kinds(spark):
+    """Each kind of evidence stands for itself, also where a detector knows the text."""
+    text = "This store copy cannot be opened. Try again."
+    rows = [f"{t}\n{text}" for t in ("Hoist checks", "Valve drills")] + ["请{{name}}", "Sorry, this page cannot be displayed. Reload it."]
+    got = {(r.doc_id, r.kind) for r in residue.evidence(frame(spark, rows, lambda i: f"h{i % 2}")).collect()}
+    assert got == {(0, "mismatch"), (1, "mismatch"), (0, "repeated"), (1, "repeated"), (2, "slot"), (3, "words")}
+
+
 def frame(spark, texts, source=lambda i: f"host-{i}"):
     return spark.createDataFrame([(i, t, source(i), None, None, None) for i, t in enumerate(texts)], SCHEMA)
 
