@@ -10,8 +10,10 @@ An error-recovering recursive-descent parser reads delimited text:
 
 After a broken quote it resumes at the next *anchor*, a line break followed by
 what only a record can start with (a row number, a delimiter, a question type
-and a delimiter), so one bad record never takes its successors along.  It
-returns fields and located errors; all value checks run in the JVM.
+and a delimiter), so one bad record never takes its successors along; other
+line breaks are content.  It returns fields and located errors; all value
+checks run in the JVM.  A line is set apart for its first bad record, and its
+valid records are loaded all the same.
 
 Defined cases
   * null ``line_text`` is a record without fields (``column_count``);
@@ -38,21 +40,29 @@ OPTION_KEYS = "ABCDEFGHI"
 # Question types of the sheet format.
 CHOICE_SINGLE, CHOICE_MULTIPLE, JUDGE, FILL = "单选题", "多选题", "判断题", "填空题"
 JUDGE_ANSWERS = ("正确", "错误")
+#: In the order in which they are given.
+REASONS = ("quoting", "column_count", "source_row", "options", "answers")
 
 
 class RecordParser:
-    """Parses delimited text; ``single`` takes the text as one record, so that line breaks are content."""
+    """Parses delimited text.
 
-    def __init__(self, delim: str, single: bool = True):
+    A line break between fields or in a bare field begins a new record where
+    an anchor follows; with ``by_line`` it always does.
+    """
+
+    def __init__(self, delim: str, by_line: bool = False):
         d = re.escape(delim)
-        self.single = single
         self.width = len(delim)
-        stop = rf"(?={d}|\Z)" if single else rf"(?={d}|\r?\n|\r|\Z)"
-        self.quoted = re.compile(rf'"((?:[^"]|"")*+)"{stop}')
-        self.bare = re.compile(rf'((?:(?!{d})[^"])*+){stop}' if single else rf'((?:(?!{d})[^"\r\n])*+){stop}')
         self.delim = delim
-        self.break_ = re.compile(r"\r?\n|\r")
-        self.anchor = re.compile(rf'(?:\r?\n|\r)(?= *"?[1-9][0-9]{{0,6}}"? *{d} *"?[^"\r\n]{{1,12}}题"? *{d})')
+        anchor = rf'(?:\r?\n|\r)(?= *"?[1-9][0-9]{{0,6}}"? *{d} *"?[^"\r\n]{{1,12}}题"? *{d})'
+        self.break_ = re.compile(r"\r?\n|\r" if by_line else anchor)
+        end = self.break_.pattern
+        self.quoted = re.compile(rf'"((?:[^"]|"")*+)"(?={d}|{end}|\Z)')
+        # Most characters can neither end a field nor a record; the others are looked at one by one.
+        plain = rf'[^"\r\n{re.escape(delim[0])}]'
+        self.bare = re.compile(rf'((?:{plain}|(?!{d}|{end})[^"])*+)(?={d}|{end}|\Z)')
+        self.anchor = re.compile(anchor)
 
     def field(self, text: str, pos: int) -> tuple[str | None, int]:
         """The field at ``pos`` and its end, or None and the place of the error."""
@@ -91,40 +101,23 @@ class RecordParser:
 
 
 @lru_cache(64)
-def parser(delim: str, single: bool = True) -> RecordParser:
-    return RecordParser(delim, single)
-
-
-def parse_lines(raw: DataFrame) -> DataFrame:
-    """``line_id, fields, error_at``: one record per row; ``error_at`` is the 0-based place of a quoting error."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fields, errors = [], []
-            for text, delim in zip(pdf["line_text"], pdf["delim"]):
-                if text is None:
-                    fields.append([])
-                    errors.append(None)
-                else:
-                    got, _, error = parser(delim or ",").record(text, 0)
-                    fields.append(got)
-                    errors.append(error)
-            yield pd.DataFrame({"line_id": pdf["line_id"], "fields": fields, "error_at": pd.array(errors, dtype="Int32")})
+def parser(delim: str) -> RecordParser:
+    return RecordParser(delim)
 
-    ship(raw.sparkSession)
-    kind = raw.schema["line_id"].dataType.simpleString()
-    return raw.select("line_id", "line_text", "delim").mapInPandas(run, f"line_id {kind}, fields array<string>, error_at int")
 
+def parse_records(raw: DataFrame) -> DataFrame:
+    """``line_id, record_start, fields, error_at``: every record of each row's text, resuming after broken quotes.
 
-def parse_files(raw: DataFrame) -> DataFrame:
-    """All records of multi-record texts: ``line_id, record_start, fields, error_at``, resuming after broken quotes."""
+    ``record_start`` and ``error_at`` are 0-based places in the text; most
+    texts are one record.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [
                 (line, start, fields, error)
                 for line, text, delim in zip(pdf["line_id"], pdf["line_text"], pdf["delim"])
-                for start, fields, error in parser(delim or ",", False).records(text or "")
+                for start, fields, error in ([(0, [], None)] if text is None else parser(delim or ",").records(text))
             ]
             cols = list(zip(*out)) if out else [[], [], [], []]
             yield pd.DataFrame({"line_id": list(cols[0]), "record_start": list(cols[1]), "fields": list(cols[2]), "error_at": pd.array(list(cols[3]), dtype="Int32")})
@@ -157,29 +150,35 @@ def judged(parsed: DataFrame) -> DataFrame:
     row_ok = at(0).rlike(r"^[1-9][0-9]{0,6}\z") & F.try_element_at("f", F.lit(1)).try_cast("int").between(2, 1048576)
     df = df.withColumns({"opts": options, "kind": at(1), "answer": at(14)})
     df = df.withColumn("keys", F.filter(F.transform("opts", lambda o, i: F.when(o != "", F.substring(F.lit(OPTION_KEYS), i + 1, F.lit(1)))), lambda k: k.isNotNull()))
-    reason = (
-        F.when(F.col("error_at").isNotNull(), "quoting")
-        .when(F.size("f") != COLUMNS, "column_count")
-        .when(~row_ok, "source_row")
-        .when(gap | (is_choice & (n_filled < 2)) | (~is_choice & (n_filled > 0)), "options")
-        .when(~answer_ok, "answers")
+    wrong = (
+        F.col("error_at").isNotNull(),
+        F.size("f") != COLUMNS,
+        ~row_ok,
+        gap | (is_choice & (n_filled < 2)) | (~is_choice & (n_filled > 0)),
+        ~answer_ok,
     )
+    reason = F.lit(None).cast("string")
+    for name, found in reversed(list(zip(REASONS, wrong))):
+        reason = F.when(found, name).otherwise(reason)
     return df.withColumn("reason", reason)
 
 
 def rejected(raw: DataFrame) -> DataFrame:
-    """``line_id, reason`` of the lines set apart."""
-    return judged(parse_lines(raw)).filter(F.col("reason").isNotNull()).select("line_id", "reason")
+    """``line_id, reason`` of the lines set apart: the first reason of their first record that has one."""
+    bad = judged(parse_records(raw)).filter(F.col("reason").isNotNull())
+    # Place and reason in one number: few rows, hashed, not sorted.
+    first = bad.select("line_id", (F.col("record_start").cast("bigint") * len(REASONS) + F.array_position(F.lit(list(REASONS)), F.col("reason")) - 1).alias("at"))
+    return first.groupBy("line_id").agg(F.min("at").alias("at")).select("line_id", F.get(F.lit(list(REASONS)), (F.col("at") % len(REASONS)).cast("int")).alias("reason"))
 
 
 def located(raw: DataFrame) -> DataFrame:
-    """``line_id, record_start, error_at, reason`` of every record of texts that may hold several, valid ones with a null reason."""
-    return judged(parse_files(raw)).select("line_id", "record_start", "error_at", "reason")
+    """``line_id, record_start, error_at, reason`` of every record, valid ones with a null reason."""
+    return judged(parse_records(raw)).select("line_id", "record_start", "error_at", "reason")
 
 
 def accepted(raw: DataFrame) -> DataFrame:
-    """The valid lines as typed question rows."""
-    df = judged(parse_lines(raw)).filter(F.col("reason").isNull())
+    """The valid records as typed question rows."""
+    df = judged(parse_records(raw)).filter(F.col("reason").isNull())
     at = lambda i: F.get("f", F.lit(i))
     options = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.get("opts", i).alias("text")))
     answers = F.when(F.col("kind").isin(CHOICE_SINGLE, CHOICE_MULTIPLE), F.filter(F.split("answer", ""), lambda ch: ch != "")).otherwise(F.array("answer"))

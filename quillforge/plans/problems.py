@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillforge.operators import drift, rowparse
 from quillforge.session import table
@@ -21,14 +22,21 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rowparse.accepted(table(spark, sf_dir, "raw_line"))
+    rows = rowparse.accepted(table(spark, sf_dir, "raw_line"))
+    options = F.array_join(F.transform("options", lambda o: F.concat(o["key"], F.lit("="), o["text"])), "|")
+    return rows.withColumns({"options": options, "answers": F.array_join("answers", "|")})
 
 
 def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its place, the place of its error and the reason."""
     return rowparse.located(table(spark, sf_dir, "raw_line"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_table": p3_table, "p5_found": p5_found, "p5_valid": p5_valid, "p5_records": p5_records}
+def p5_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_records(spark, sf_dir).filter("reason is not null")
+
+
+QUERIES = {"p3_found": p3_found, "p3_table": p3_table, "p5_found": p5_found, "p5_valid": p5_valid, "p5_records": p5_records, "p5_errors": p5_errors}
 
 # The wide forms, for the other engine.
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
@@ -96,7 +104,18 @@ j AS (SELECT line_id, CASE
   WHEN kind = '多选题' AND NOT (length(a) >= 2 AND len(list_distinct(letters)) = length(a) AND len(list_filter(letters, lambda c: NOT list_contains(keys, c))) = 0) THEN 'answers'
   WHEN kind = '判断题' AND a NOT IN ('正确', '错误') THEN 'answers'
   WHEN kind = '填空题' AND a = '' THEN 'answers' END AS reason FROM l)
-SELECT line_id, reason FROM j WHERE reason IS NOT NULL
+"""
+_TRIMMED = "SELECT line_id, f[1]::INTEGER AS source_row, kind AS type, f[3] AS difficulty, f[4] AS category, f[5] AS stem"
+_P5_VALID = _P5.replace("j AS (SELECT line_id, CASE", "j AS (SELECT *, CASE") + f"""
+{_TRIMMED}, array_to_string(list_transform(range(1, len(keys) + 1), lambda i: keys[i] || '=' || o[i]), '|') AS options,
+  CASE WHEN kind IN ('单选题', '多选题') THEN array_to_string(letters, '|') ELSE a END AS answers, f[16] AS source,
+  lower(f[17]) IN ('是', 'true', '1', 'yes') AS lifesaving, f[18] AS note
+FROM j WHERE reason IS NULL
 """
 
-ORACLE: dict[str, str] = {"p3_found": _P3, "p5_found": _P5}
+# One record in each row of the given table, so its place is 0; the place of a broken quote is not for SQL to find.
+ORACLE: dict[str, str] = {
+    "p3_found": _P3,
+    "p5_found": _P5 + "SELECT line_id, reason FROM j WHERE reason IS NOT NULL",
+    "p5_valid": _P5_VALID,
+}
