@@ -86,11 +86,19 @@ def containers(items: DataFrame, key: str = "doc_id", size: str = "n_tokens", ca
         "n",
     ).select(key, "piece", "start", F.least(F.col("n") - F.col("start"), F.lit(capacity)).cast("bigint").alias("n_tokens"))
     n_windows = max(1, -(-pieces.count() // window))
-    # Repeated ids are spread too: the row's own number joins the hash.
-    pieces = pieces.withColumn("window", F.pmod(F.xxhash64(key, "piece", F.spark_partition_id(), F.monotonically_increasing_id()), F.lit(n_windows)))
+    # The window follows from the item alone: how rows lie in files, and a task run again, change nothing.  Rows that repeat an
+    # item are alike, so they are counted and numbered; the numbers of a great many are spread before they become rows again.
+    counted = pieces.groupBy(key, "piece", "start", "n_tokens").agg(F.count("*").alias("copies"))
+    runs = counted.withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(window).cast("bigint"))))
+    copy = F.explode(F.sequence(F.col("from"), F.least(F.col("from") + window, F.col("copies")) - 1))
+    pieces = runs.withColumn("copy", copy).select(key, "piece", "start", "n_tokens", F.pmod(F.xxhash64(key, "piece", "copy"), F.lit(n_windows)).alias("window"))
+    # Windows stay apart: partitions of windows are not merged by their few bytes.
+    settings = items.sparkSession
+    tasks = 4 * max(int(settings.conf.get("spark.sql.shuffle.partitions")), settings.sparkContext.defaultParallelism)
+    pieces = pieces.repartition(min(n_windows, tasks), "window")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([key, "piece"], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values([key, "piece", "n_tokens"], kind="stable", ignore_index=True)
         full = (pdf["n_tokens"] > 0).to_numpy()
         ids = pd.array([None] * len(pdf), dtype="Int64")
         ids[full] = pack(pdf.loc[full, "n_tokens"].tolist(), capacity)

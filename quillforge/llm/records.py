@@ -9,9 +9,10 @@ commas and semicolons of either width.
 Every normalized (field name, value) pair is hashed twice; the
 hashes are added up modulo a prime, which is commutative and counts repeated parts, so equal
 multisets have equal fingerprints without sorting.  Rows are grouped by
-fingerprint with map-side pre-aggregation, and each row is verified field by
-field against the row with the smallest id of its group.  Rows that only share
-the fingerprint, if ever there are any, are grouped by their exact fields.
+fingerprint by hash aggregation of numbers with map-side pre-aggregation; only
+rows of groups of several go on with their texts, and each is verified field by
+field against one row of its group.  Rows that only share the fingerprint, if
+ever there are any, are grouped by their exact fields.
 
 Defined cases: a null stem is an empty stem, null answers have no parts, parts
 without any counted character are left out; a repeated id with equal content is
@@ -80,17 +81,16 @@ def copies(questions: DataFrame) -> DataFrame:
     """``keep_id, copy_id``: every row but the kept one of each record."""
     rows = fingerprinted(questions)
     keys = ["fp_a", "fp_b"]
-    groups = (
-        rows.groupBy(*keys)
-        .agg(F.min(F.struct("id", "f_stem", "f_parts")).alias("k"), F.count("*").alias("n"))
-        .filter(F.col("n") > 1)
-        .select(F.col("fp_a").alias("g_a"), F.col("fp_b").alias("g_b"), F.col("k.id").alias("keep_id"), F.col("k.f_stem").alias("k_stem"), F.col("k.f_parts").alias("k_parts"))
-    )
-    # One group row per fingerprint: a hot fingerprint is split by the adaptive skew join.
-    met = rows.join(groups, (rows["fp_a"] == groups["g_a"]) & (rows["fp_b"] == groups["g_b"])).filter(F.col("id") != F.col("keep_id"))
+    # Numbers as the only buffers: hashed, not sorted.  The row with the smallest hash of its id stands for its group until the smallest id is known.
+    groups = rows.groupBy(*keys).agg(F.min(F.xxhash64("id")).alias("stand_in"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Texts move for the rows of groups of several only; a hot fingerprint is split by the adaptive skew join.
+    several = durable(rows.join(groups, keys), "p2-several")
+    first = several.filter(F.xxhash64("id") == F.col("stand_in")).select(*keys, F.col("id").alias("by"), F.col("f_stem").alias("k_stem"), F.col("f_parts").alias("k_parts"))
     same = (F.col("f_stem") == F.col("k_stem")) & _same_parts(F.col("f_parts"), F.col("k_parts"))
-    met = durable(met.select("id", "keep_id", same.alias("same"), F.when(~same, F.struct("f_stem", "f_parts")).alias("other")), "p2-met")
-    verified = met.filter("same").select("keep_id", F.col("id").alias("copy_id"))
+    met = several.join(first, keys).select(*keys, "id", same.alias("same"), F.when(~same, F.struct("f_stem", "f_parts")).alias("other"))
+    met = durable(met, "p2-met")
+    kept = met.filter("same").groupBy(*keys).agg(F.min("id").alias("keep_id"))
+    verified = met.filter("same").join(kept, keys).filter(F.col("id") != F.col("keep_id")).select("keep_id", F.col("id").alias("copy_id"))
     # Collisions: exact grouping of the rows that failed the verification.
     other = met.filter("not same").select("id", "other.f_stem", F.array_sort("other.f_parts").alias("f_parts"))
     firsts = other.groupBy("f_stem", "f_parts").agg(F.min("id").alias("keep_id"))
