@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillforge.functions import text as T
 from quillforge.operators import export, grading, ingest, library, paper, progress, quality
-from quillforge.session import shared_dir, table
+from quillforge.session import durable, shared_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -389,25 +389,38 @@ def toggle_membership(spark, d):
 # ---- scalars --------------------------------------------------------------
 
 
-@query("""
-SELECT id, lower(
-  CASE WHEN h = 0 THEN '0' ELSE list_reduce(list_prepend('', list_transform(range(0, 7), lambda i: CASE WHEN h // (36 ** i)::BIGINT > 0 OR i = 0
-    THEN substr('0123456789abcdefghijklmnopqrstuvwxyz', ((h // (36 ** i)::BIGINT) % 36)::INTEGER + 1, 1) ELSE '' END)), lambda a, b: b || a) END) AS hash
-FROM (SELECT id, list_reduce(list_prepend(2166136261::BIGINT, flatten(list_transform(string_split(stem, ''), lambda c: CASE WHEN unicode(c) > 65535
-    THEN [(55296 + (unicode(c) - 65536) // 1024)::BIGINT, (56320 + (unicode(c) - 65536) % 1024)::BIGINT] ELSE [unicode(c)::BIGINT] END))),
-    lambda a, b: (xor(a, b) * 16777619) & 4294967295) AS h FROM question) z
-""")
+def _hash_sql(c: str) -> str:
+    """FNV-1a over UTF-16 units, in base 36."""
+    units = f"list_transform(string_split({c}, ''), lambda c: CASE WHEN unicode(c) > 65535 THEN [(55296 + (unicode(c) - 65536) // 1024)::BIGINT, (56320 + (unicode(c) - 65536) % 1024)::BIGINT] ELSE [unicode(c)::BIGINT] END)"
+    h = f"list_reduce(list_prepend(2166136261::BIGINT, flatten({units})), lambda a, b: (xor(a, b) * 16777619) & 4294967295)"
+    digits = "list_transform(range(0, 7), lambda i: CASE WHEN h // (36 ** i)::BIGINT > 0 OR i = 0 THEN substr('0123456789abcdefghijklmnopqrstuvwxyz', ((h // (36 ** i)::BIGINT) % 36)::INTEGER + 1, 1) ELSE '' END)"
+    return f"(SELECT list_reduce(list_prepend('', {digits}), lambda a, b: b || a) FROM (SELECT {h} AS h) hh)"
+
+
+@query(f"SELECT id, {_hash_sql('stem')} AS hash FROM question")
 def stable_hash(spark, d):
     return questions(spark, d).select("id", T.stable_hash(F.col("stem")).alias("hash"))
 
 
-@query(f"SELECT DISTINCT type AS raw, {_norm_sql('type')} AS norm FROM question WHERE type IS NOT NULL")
+# Cells and their compatibility forms.
+_VECTORS = [("①题 干", "1题干"), ("ＡＢ１", "ab1"), ("ﬁle", "file"), ("㎏", "kg"), ("㎡", "m2"), ("Ⅳ", "iv"), ("ｶﾞ", "ガ"), ("e\u0301", "é"), ("㈱", "株"), ("½", "12"), ("²³", "23"), ("\u1112\u1161\u11ab", "한"), ("（答案）", "答案"), ("", "")]
+_VECTOR_SQL = "VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _VECTORS)
+
+
+@query(f"SELECT DISTINCT type AS raw, {_norm_sql('type')} AS norm FROM question WHERE type IS NOT NULL UNION {_VECTOR_SQL}")
 def header_normalise(spark, d):
-    return questions(spark, d).select(F.col("type").alias("raw")).filter("raw is not null").distinct().withColumn("norm", T.normalize_header(F.col("raw")))
+    """The types given, and cells whose forms are known."""
+    fixed = spark.createDataFrame([(a,) for a, _ in _VECTORS], "raw string")
+    return questions(spark, d).select(F.col("type").alias("raw")).filter("raw is not null").unionByName(fixed).distinct().withColumn("norm", T.normalize_header(F.col("raw")))
 
 
-@query(rf"""
-SELECT q.id, o.o.key AS key, {_trim_sql(rf"regexp_replace(o.o.text, '(?i)^{_WS}*[\[(（【]?{_WS}*' || o.o.key || '(?:{_WS}*[\])）】])?(?:{_WS}*[、.．:：]|{_WS}){_WS}*', '')")} AS text
+def _clean_sql(key: str, text: str) -> str:
+    marker = rf"'(?i)^{_WS}*(?:[（(【\[]{_WS}*)?' || {key} || '(?:{_WS}*[）)】\]])?{_WS}*(?:[、.．:：]|{_WS}+){_WS}*'"
+    return _trim_sql(f"regexp_replace({text}, {marker}, '')")
+
+
+@query(f"""
+SELECT q.id, o.o.key AS key, {_clean_sql("o.o.key", "o.o.text")} AS text
 FROM question q, LATERAL (SELECT unnest(q.options) AS o) o
 """)
 def option_prefix_clean(spark, d):
@@ -425,12 +438,17 @@ def judge_value(spark, d):
     return values.withColumn("judged", T.judge_value(F.col("value")))
 
 
-_LETTERS = "list_filter(['A','B','C','D','E','F','G','H','I'], lambda k: contains(upper(array_to_string(answers, '')), k))"
+def _in_order(xs: str) -> str:
+    """Each element once, in order of appearance."""
+    return f"list_filter({xs}, lambda x, i: list_position({xs}, x) = i)"
+
+
+_LETTERS = _in_order("regexp_extract_all(upper(array_to_string(answers, '')), '[A-I]')")
 
 
 @query(f"SELECT id, array_to_string({_LETTERS}, '') AS letters FROM question")
 def answer_letters(spark, d):
-    return questions(spark, d).select("id", F.array_join(F.array_sort(T.answer_letters(F.array_join("answers", ""))), "").alias("letters"))
+    return questions(spark, d).select("id", F.array_join(T.answer_letters(F.array_join("answers", "")), "").alias("letters"))
 
 
 @query(f"SELECT id, {_fill_sql(chr(34) + 'a' + chr(34))} AS filled FROM (SELECT id, array_to_string(answers, ',') AS a FROM question WHERE answer_mode = 'fill') z")
@@ -493,7 +511,7 @@ def hash_digest(spark, d):
 
 _OPTION_SQL = "list_filter(q.options, lambda o: o.key IS NOT NULL)"
 _N = _norm_sql("coalesce(q.type, '')")
-_KNOWN = "list_filter(list_distinct(regexp_extract_all(upper(a), '[A-I]')), lambda k: list_contains(list_transform(options, lambda o: o.key), k))"
+_KNOWN = f"list_filter({_in_order("regexp_extract_all(upper(a), '[A-I]')")}, lambda k: list_contains(list_transform(options, lambda o: o.key), k))"
 _JUDGED = lambda c: f"CASE WHEN {_trim_sql(c)} = '√' OR {_norm_sql(c)} IN ('正确','对','是','true','t','yes','y') THEN 'T' WHEN {_trim_sql(c)} IN ('×','✕','✖') OR {_norm_sql(c)} IN ('错误','错','否','false','f','no','n') THEN 'F' ELSE '' END"
 
 
@@ -502,7 +520,7 @@ WITH s AS (SELECT q.id, {_N} AS t, {_trim_sql("array_to_string(q.answers, ',')")
 k AS (SELECT *, {_KNOWN} AS known, upper(a) AS up, {_JUDGED('a')} AS direct,
   coalesce(list_filter(options, lambda o: o.key = upper(a))[1].text, '') AS keyed,
   list_filter(options, lambda o: {_norm_sql('o.text')} = {_norm_sql('a')}) AS same FROM s),
-j AS (SELECT *, {_JUDGED('keyed')} AS kv, CASE WHEN len(known) > 0 THEN list_sort(known) WHEN len(same) > 0 THEN [same[1].key] ELSE [] END AS choice FROM k)
+j AS (SELECT *, {_JUDGED('keyed')} AS kv, CASE WHEN len(known) > 0 THEN known WHEN len(same) > 0 THEN [same[1].key] ELSE [] END AS choice FROM k)
 SELECT id,
   CASE WHEN contains(t, '判断') AND (direct <> '' OR kv <> '' OR up IN ('A', 'B') OR len(known) = 0) THEN 'judge'
        WHEN contains(t, '填空') OR regexp_matches(t, '简答|问答|计算|案例分析|论述') OR len(options) = 0 THEN 'fill'
@@ -516,21 +534,19 @@ FROM j
 """)
 def answer_parse(spark, d):
     rows = questions(spark, d).select("id", T.parse_answer(F.coalesce("type", F.lit("")), joined("answers"), F.col("options")).alias("p"))
-    ordered = F.when(F.col("p.mode").isin("single", "multiple"), F.array_sort("p.answers")).otherwise(F.col("p.answers"))
-    return rows.select("id", F.col("p.mode").alias("mode"), F.array_join(ordered, "|").alias("answers"))
+    return rows.select("id", F.col("p.mode").alias("mode"), F.array_join("p.answers", "|").alias("answers"))
 
 
 @query(f"""
 WITH s AS (SELECT q.id, replace(coalesce(q.type, ''), ' ', '') AS t, array_to_string(q.answers, ',') AS a, q.options FROM question q),
-k AS (SELECT *, list_sort({_KNOWN}) AS known, CASE WHEN lower(a) IN ('正确','对','是','√','true','t','a') THEN 'T' WHEN lower(a) IN ('错误','错','否','×','false','f','b') THEN 'F' END AS truth FROM s)
+k AS (SELECT *, {_KNOWN} AS known, CASE WHEN lower(a) IN ('正确','对','是','√','true','t','a') THEN 'T' WHEN lower(a) IN ('错误','错','否','×','false','f','b') THEN 'F' END AS truth FROM s)
 SELECT id, CASE WHEN contains(t, '填空') THEN 'fill' WHEN contains(t, '判断') AND truth IS NOT NULL THEN 'judge' WHEN contains(t, '多选') OR len(known) > 1 THEN 'multiple' ELSE 'single' END AS mode,
   CASE WHEN contains(t, '填空') THEN array_to_string(list_filter(list_transform(string_split(replace(a, '，', ','), ','), lambda x: {_trim_sql('x')}), lambda x: x <> ''), '|')
        WHEN contains(t, '判断') AND truth IS NOT NULL THEN truth ELSE array_to_string(known, '|') END AS answers FROM k
 """)
 def strict_answer_parse(spark, d):
     rows = questions(spark, d).select("id", T.strict_parse_answer(F.coalesce("type", F.lit("")), joined("answers"), F.col("options")).alias("p"))
-    ordered = F.when(F.col("p.mode").isin("single", "multiple"), F.array_sort("p.answers")).otherwise(F.col("p.answers"))
-    return rows.select("id", F.col("p.mode").alias("mode"), F.array_join(ordered, "|").alias("answers"))
+    return rows.select("id", F.col("p.mode").alias("mode"), F.array_join("p.answers", "|").alias("answers"))
 
 
 # ---- ingest ---------------------------------------------------------------
@@ -540,49 +556,157 @@ def sheet_rows(spark, d) -> DataFrame:
     return table(spark, d, "sheet_row").select(F.col("file_id").cast("string").alias("file"), F.col("sheet_name").alias("sheet"), "row_num", "cells")
 
 
-def _alias_case(field: str) -> str:
-    names = ingest.ALIASES[field]
-    rank = "CASE " + " ".join(f"WHEN n = '{a}' THEN {i}" for i, a in enumerate(names)) + " END"
-    pos = "-k" if field in ingest.LAST_COLUMN_FIELDS else "k"
+def _alias_case(field: str, names: tuple[str, ...], ranked: bool = True) -> str:
+    rank = "CASE " + " ".join(f"WHEN n = '{ingest.normal(a)}' THEN {i if ranked else 0}" for i, a in enumerate(names)) + " END"
+    pos = "-k" if ranked and field in ingest.LAST_COLUMN_FIELDS else "k"
     return f"arg_min(k, {rank} * 1000 + {pos}) FILTER (WHERE {rank} IS NOT NULL) AS c_{field}"
 
 
-@query(f"""
+_KEY_SQL = "upper(coalesce(nullif(regexp_extract(n, '^(选项)?([a-i])$', 2), ''), nullif(regexp_extract(n, '^([a-i])选项$', 1), '')))"
+_HEAD = f"""
 WITH c AS (SELECT file_id, sheet_name, row_num, k, {_norm_sql('cells[k]')} AS n FROM (SELECT *, unnest(map_keys(cells)) AS k FROM sheet_row WHERE row_num <= 30) z),
-h AS (SELECT file_id, sheet_name, row_num, {', '.join(_alias_case(f) for f in ('type', 'stem', 'answer', 'difficulty', 'category'))},
-  count(*) FILTER (WHERE regexp_matches(n, '^(选项)?[a-i]$') OR regexp_matches(n, '^[a-i]选项$')) AS n_options FROM c GROUP BY ALL),
-s AS (SELECT *, 10 + CASE WHEN c_type IS NULL THEN 0 ELSE 3 END + CASE WHEN c_difficulty IS NULL THEN 0 ELSE 1 END + CASE WHEN c_category IS NULL THEN 0 ELSE 1 END + least(n_options, 4) AS score
-  FROM h WHERE c_stem IS NOT NULL AND c_answer IS NOT NULL)
-SELECT file_id::VARCHAR AS file, sheet_name AS sheet, row_num AS header_row, score::INTEGER AS score, c_type, c_stem, c_answer, c_difficulty, c_category, n_options::INTEGER AS n_options
-FROM (SELECT *, row_number() OVER (PARTITION BY file_id, sheet_name ORDER BY score DESC, row_num) AS r FROM s) z WHERE r = 1
+o AS (SELECT file_id, sheet_name, row_num, list({{'key': key, 'col': col}} ORDER BY first_col) AS opts FROM
+  (SELECT file_id, sheet_name, row_num, {_KEY_SQL} AS key, min(k) AS first_col, max(k) AS col FROM c WHERE {_KEY_SQL} IS NOT NULL GROUP BY ALL) z GROUP BY ALL),
+h AS (SELECT file_id, sheet_name, row_num, {', '.join(_alias_case(f, names) for f, names in ingest.ALIASES.items())} FROM c GROUP BY ALL),
+s AS (SELECT h.*, coalesce(o.opts, []) AS opts, 10 + CASE WHEN c_type IS NULL THEN 0 ELSE 3 END + CASE WHEN c_difficulty IS NULL THEN 0 ELSE 1 END + CASE WHEN c_category IS NULL THEN 0 ELSE 1 END + least(len(coalesce(o.opts, [])), 4) AS score
+  FROM h LEFT JOIN o USING (file_id, sheet_name, row_num) WHERE c_stem IS NOT NULL AND c_answer IS NOT NULL),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_id, sheet_name ORDER BY score DESC, row_num) AS r FROM s) z WHERE r = 1)
+"""
+
+
+@query(_HEAD + f"""
+SELECT file_id::VARCHAR AS file, sheet_name AS sheet, row_num AS header_row, score::INTEGER AS score, {', '.join(f'c_{f}' for f in ingest.ALIASES)}, len(opts)::INTEGER AS n_options FROM best
 """)
 def header_detection(spark, d):
     h = ingest.sheet_headers(sheet_rows(spark, d))
-    return h.select("file", "sheet", "header_row", "score", "c_type", "c_stem", "c_answer", "c_difficulty", "c_category", F.size("c_options").alias("n_options"))
+    return h.select("file", "sheet", "header_row", "score", *(f"c_{f}" for f in ingest.ALIASES), F.size("c_options").alias("n_options"))
+
+
+def _listed(words) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+_GET = lambda f: _trim_sql(f"coalesce(cells[c_{f}], '')")
+# Rows below the header as cells of each field, then with options, context and parsed answer.
+_IMPORTED = _HEAD + f"""
+, r AS (SELECT z.file_id::VARCHAR AS file, z.sheet_name AS sheet, z.row_num, z.cells, b.opts, {', '.join(f"{_GET(f)} AS {f}" for f in ingest.ALIASES)}
+  FROM sheet_row z JOIN best b ON z.file_id = b.file_id AND z.sheet_name = b.sheet_name AND z.row_num > b.row_num),
+e AS (SELECT *, coalesce(nullif(type, ''), sheet) AS raw_type, list_filter(list_transform(opts, lambda o: {{'key': o.key, 'text': {_clean_sql('o.key', _trim_sql("coalesce(cells[o.col], '')"))}}}), lambda o: o.text <> '') AS options
+  FROM r WHERE stem <> '' AND NOT ({_norm_sql('stem')} IN ({_listed(map(ingest.normal, ingest.ALIASES['stem']))}) AND {_norm_sql('answer')} IN ({_listed(map(ingest.normal, ingest.ALIASES['answer']))}))),
+g AS (SELECT *, contains(raw_type, '案例') AND answer = '' AND len(options) = 0 AS opens, CASE WHEN contains(raw_type, '案例') AND answer = '' AND len(options) = 0 THEN stem WHEN NOT contains(raw_type, '案例') THEN '' END AS marker FROM e),
+x AS (SELECT *, coalesce(last_value(marker IGNORE NULLS) OVER (PARTITION BY file, sheet ORDER BY row_num ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS ctx FROM g),
+y AS (SELECT *, answer AS a, {_norm_sql('raw_type')} AS t FROM x WHERE NOT opens),
+k AS (SELECT *, {_KNOWN} AS known, upper(a) AS up, {_JUDGED('a')} AS direct, coalesce(list_filter(options, lambda o: o.key = upper(a))[1].text, '') AS keyed,
+  list_filter(options, lambda o: {_norm_sql('o.text')} = {_norm_sql('a')}) AS same FROM y),
+j AS (SELECT *, {_JUDGED('keyed')} AS kv, CASE WHEN len(known) > 0 THEN known WHEN len(same) > 0 THEN [same[1].key] ELSE [] END AS choice FROM k),
+p AS (SELECT *,
+  CASE WHEN contains(t, '判断') AND (direct <> '' OR kv <> '' OR up IN ('A', 'B') OR len(known) = 0) THEN 'judge'
+       WHEN contains(t, '填空') OR regexp_matches(t, '简答|问答|计算|案例分析|论述') OR len(options) = 0 THEN 'fill'
+       WHEN contains(t, '多选') OR len(choice) > 1 THEN 'multiple' ELSE 'single' END AS answer_mode,
+  CASE WHEN contains(t, '判断') AND direct <> '' THEN [direct] WHEN contains(t, '判断') AND kv <> '' THEN [kv] WHEN contains(t, '判断') AND up = 'A' THEN ['T']
+       WHEN contains(t, '判断') AND up = 'B' THEN ['F'] WHEN contains(t, '判断') AND len(known) = 0 THEN []
+       WHEN contains(t, '填空') THEN list_filter(list_transform(string_split(replace(a, '，', ','), ','), lambda x: {_trim_sql('x')}), lambda x: x <> '')
+       WHEN regexp_matches(t, '简答|问答|计算|案例分析|论述') OR len(options) = 0 THEN CASE WHEN a <> '' THEN [a] ELSE [] END
+       ELSE choice END AS answers FROM j),
+q AS (SELECT file, sheet, 'q-' || {_hash_sql("file || '|' || sheet || '|' || row_num || '|' || stem")} AS id, 'bank-' || {_hash_sql('file')} AS bank_id, row_num::INTEGER AS source_row,
+  CASE WHEN contains(t, '案例分析') THEN '案例分析题' WHEN contains(t, '案例') THEN '案例题' WHEN contains(t, '简答') OR contains(t, '问答') THEN '简答题' WHEN contains(t, '计算') THEN '计算题' WHEN contains(t, '论述') THEN '论述题'
+    WHEN answer_mode = 'multiple' THEN '多选题' WHEN answer_mode = 'judge' THEN '判断题' WHEN answer_mode = 'fill' THEN '填空题' ELSE '单选题' END AS type,
+  answer_mode, coalesce(nullif(difficulty, ''), '未标注') AS difficulty, coalesce(nullif(category, ''), '未分类') AS category, stem,
+  array_to_string(list_transform(options, lambda o: o.key || '=' || o.text), '|') AS options, answers, source, lower(lifesaving) IN ('是', 'true', '1', 'yes') AS lifesaving, note,
+  CASE WHEN contains(raw_type, '案例') THEN ctx ELSE '' END AS case_context, options AS option_list, answer AS raw_answer FROM p)
+"""
+_SHAPE = "file, sheet, id, bank_id, source_row, type, answer_mode, difficulty, category, stem, options, array_to_string(answers, '|') AS answers, source, lifesaving, note, case_context"
+_WARNED = """SELECT file, sheet, source_row, 'no usable answer' AS warning FROM q WHERE len(answers) = 0
+UNION ALL SELECT DISTINCT file_id::VARCHAR, sheet_name, NULL::INTEGER, 'no header' FROM sheet_row z WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.file_id = z.file_id AND b.sheet_name = z.sheet_name)"""
 
 
-@query()
+def _flat(df: DataFrame) -> DataFrame:
+    """Options and answers as one text each."""
+    options = F.array_join(F.transform("options", lambda o: F.concat(o["key"], F.lit("="), o["text"])), "|")
+    return df.withColumns({"options": options, "answers": F.array_join("answers", "|")})
+
+
+@query(_IMPORTED + f"SELECT {_SHAPE} FROM q WHERE len(answers) > 0")
 def ingest_questions(spark, d):
-    return ingest.import_rows(sheet_rows(spark, d)).questions.select("file", "sheet", "id", "bank_id", "source_row", "type", "answer_mode", "difficulty", "category", "stem", joined("answers").alias("answers"))
+    return _flat(ingest.import_rows(sheet_rows(spark, d)).questions)
 
 
-@query()
+@query(_IMPORTED + _WARNED)
 def ingest_warnings(spark, d):
-    got = ingest.import_rows(sheet_rows(spark, d))
-    return got.rejected.unionByName(got.without_header.withColumn("source_row", F.lit(None).cast("int")))
+    return ingest.all_warnings(ingest.import_rows(sheet_rows(spark, d)))
+
+
+_EXPORT = (
+    ["coalesce(type, '')", "coalesce(difficulty, '')", "coalesce(category, '')", "stem"]
+    + [f"coalesce(list_filter(options, lambda o: o.key = '{k}')[1].text, '')" for k in T.OPTION_KEYS]
+    + [
+        "CASE WHEN answer_mode = 'judge' THEN CASE WHEN answers[1] = 'T' THEN '正确' ELSE '错误' END WHEN answer_mode = 'fill' THEN array_to_string(answers, ',') ELSE array_to_string(answers, '') END",
+        "coalesce(source, '')",
+        "CASE WHEN lifesaving THEN '是' ELSE '否' END",
+        "coalesce(note, '')",
+    ]
+)
 
 
-@query()
+# The strict importer: header texts of row 1 as they are.
+_STRICT_COL = lambda name: f"list_max(list_filter(map_keys(cells), lambda k: {_trim_sql('cells[k]')} = '{name}'))"
+_STRICT = f"""
+WITH h AS (SELECT file_id, sheet_name, {', '.join(f"{_STRICT_COL(n)} AS c_{f}" for f, n in ingest.STRICT.items())},
+  list_filter(list_transform(['A','B','C','D','E','F','G','H','I'], lambda x: {{'key': x, 'col': list_max(list_filter(map_keys(cells), lambda k: {_trim_sql('cells[k]')} = x))}}), lambda o: o.col IS NOT NULL) AS opts FROM sheet_row WHERE row_num = 1),
+r AS (SELECT z.file_id::VARCHAR AS file, z.sheet_name AS sheet, z.row_num, z.cells, h.opts, {', '.join(f"{_GET(f)} AS {f}" for f in ingest.STRICT)}
+  FROM sheet_row z JOIN h ON z.file_id = h.file_id AND z.sheet_name = h.sheet_name AND z.row_num > 1 WHERE {' AND '.join(f'c_{f} IS NOT NULL' for f in ingest.STRICT_REQUIRED)}),
+e AS (SELECT *, list_filter(list_transform(opts, lambda o: {{'key': o.key, 'text': {_trim_sql("coalesce(cells[o.col], '')")}}}), lambda o: o.text <> '') AS options FROM r WHERE stem <> ''),
+y AS (SELECT *, answer AS a, replace(type, ' ', '') AS t FROM e WHERE NOT (contains(type, '案例') AND answer = '' AND len(options) = 0)),
+k AS (SELECT *, {_KNOWN} AS known, CASE WHEN lower(a) IN ('正确','对','是','√','true','t','a') THEN 'T' WHEN lower(a) IN ('错误','错','否','×','false','f','b') THEN 'F' END AS truth FROM y),
+p AS (SELECT *, CASE WHEN contains(t, '填空') THEN 'fill' WHEN contains(t, '判断') AND truth IS NOT NULL THEN 'judge' WHEN contains(t, '多选') OR len(known) > 1 THEN 'multiple' ELSE 'single' END AS answer_mode,
+  CASE WHEN contains(t, '填空') THEN list_filter(list_transform(string_split(replace(a, '，', ','), ','), lambda x: {_trim_sql('x')}), lambda x: x <> '') WHEN contains(t, '判断') AND truth IS NOT NULL THEN [truth] ELSE known END AS answers FROM k)
+SELECT file, sheet, 'q-' || {_hash_sql("file || '|' || sheet || '|' || row_num || '|' || stem")} AS id, answer_mode, array_to_string(answers, '|') AS answers, array_to_string(list_transform(options, lambda o: o.key || '=' || o.text), '|') AS options, lifesaving = '是' AS lifesaving,
+  CASE WHEN contains(type, '案例') THEN '案例题' WHEN answer_mode = 'multiple' THEN '多选题' WHEN answer_mode = 'judge' THEN '判断题' WHEN answer_mode = 'fill' THEN '填空题' ELSE '单选题' END AS type FROM p
+"""
+
+
+_STANDARD = "map_from_entries(list_filter([" + ", ".join(f"{{'k': {i}, 'v': {e}}}" for i, e in enumerate(_EXPORT, 1)) + "], lambda x: x.v <> ''))"
+_STANDARD_HEAD = "MAP {" + ", ".join(f"{i}: '{c}'" for i, c in enumerate(export.COLUMNS, 1)) + "}"
+
+
+@query(f"""
+WITH sheet_row AS (SELECT bank_id AS file_id, '题库题目' AS sheet_name, (row_number() OVER (PARTITION BY bank_id ORDER BY id) + 1)::INTEGER AS row_num, {_STANDARD} AS cells FROM question
+  UNION ALL SELECT DISTINCT bank_id, '题库题目', 1, {_STANDARD_HEAD} FROM question),
+""" + _STRICT.strip().removeprefix("WITH "))
 def ingest_strict(spark, d):
-    return ingest.import_rows(sheet_rows(spark, d), strict=True, keep_unanswered=True).questions.select("file", "sheet", "id", "type", "answer_mode", joined("answers").alias("answers"))
+    """The standard sheet of every bank, read by the strict importer."""
+    q = questions(spark, d)
+    made = export.sheet_rows(q.withColumn("id", F.struct("bank_id", "id"))).select("id.*", F.array(*(F.col(c) for c in export.COLUMNS)).alias("values"))
+    number = F.row_number().over(Window.partitionBy("bank_id").orderBy("id")) + 1
+    rows = made.select("bank_id", number.alias("row_num"), "values").unionByName(q.select("bank_id").distinct().select("bank_id", F.lit(1).alias("row_num"), F.array(*map(F.lit, export.COLUMNS)).alias("values")))
+    rows = rows.select(F.col("bank_id").alias("file"), F.lit(export.SHEET).alias("sheet"), "row_num", export.cells_of(F.col("values")).alias("cells"))
+    return _flat(ingest.import_rows(rows, strict=True, keep_unanswered=True).questions).select("file", "sheet", "id", "type", "answer_mode", "answers", "options", "lifesaving")
+
+
+_S_FIELDS = [f for f in ingest.SOURCE_ALIASES if f != "type"]
+_SOURCE_ROWS = _HEAD.rstrip() + f"""
+, sh AS (SELECT file_id, sheet_name, row_num, count(DISTINCT {_KEY_SQL}) + max(CASE WHEN n IN ({_listed(map(ingest.normal, ingest.SOURCE_ALIASES['type']))}) THEN 1 ELSE 0 END) AS score,
+  {', '.join(_alias_case(f, ingest.SOURCE_ALIASES[f], False) for f in _S_FIELDS)} FROM c GROUP BY ALL),
+sb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_id, sheet_name ORDER BY score DESC, row_num) AS r FROM sh WHERE c_stem IS NOT NULL AND c_answer IS NOT NULL) z WHERE r = 1),
+sr AS (SELECT * FROM (SELECT z.file_id::VARCHAR AS file, z.sheet_name AS sheet, z.row_num, {', '.join(f"{_GET(f)} AS {f}" for f in _S_FIELDS)} FROM sheet_row z JOIN sb ON z.file_id = sb.file_id AND z.sheet_name = sb.sheet_name AND z.row_num > sb.row_num) w WHERE stem <> '')
+"""
 
 
-@query()
+@query(_SOURCE_ROWS + "SELECT * FROM sr")
 def source_row_locator(spark, d):
     return ingest.source_rows(sheet_rows(spark, d))
 
 
-@query()
+_FOUND = _IMPORTED.rstrip() + _SOURCE_ROWS[len(_HEAD.rstrip()) :] + """
+, rc AS (SELECT q.*, s.file IS NOT NULL AS found, s.answer AS s_answer, s.category AS s_category, s.source AS s_source, s.lifesaving AS s_lifesaving FROM q LEFT JOIN (SELECT DISTINCT ON (file, sheet, row_num, stem) * FROM sr ORDER BY file, sheet, row_num, stem, answer, category, source, lifesaving) s
+  ON s.file = q.file AND s.sheet = q.sheet AND s.row_num = q.source_row AND s.stem = q.stem WHERE len(answers) > 0),
+en AS (SELECT * REPLACE (coalesce(nullif(s_category, ''), category) AS category, coalesce(nullif(s_source, ''), source) AS source, CASE WHEN coalesce(s_lifesaving, '') <> '' THEN lower(s_lifesaving) IN ('是', 'true', '1', 'yes') ELSE lifesaving END AS lifesaving),
+  CASE WHEN answer_mode IN ('single', 'multiple') THEN array_to_string(list_filter(""" + _in_order("regexp_extract_all(upper(coalesce(s_answer, '')), '[A-I]')") + """, lambda k: NOT list_contains(list_transform(option_list, lambda o: o.key), k)), '、') ELSE '' END AS missing,
+  answer_mode = 'multiple' AND len(answers) < 2 AS review FROM rc)
+"""
+
+
+@query(_FOUND + "SELECT file, sheet, count(*) AS imported, count(*) FILTER (WHERE found) AS found FROM rc GROUP BY file, sheet")
 def reconciled_imports(spark, d):
     """Imported questions whose source row an independent search finds, by sheet."""
     rows = sheet_rows(spark, d)
@@ -590,11 +714,38 @@ def reconciled_imports(spark, d):
     return got.groupBy("file", "sheet").agg(F.count("*").alias("imported"), F.count_if("found").alias("found"))
 
 
-@query()
+@query(_FOUND + f"SELECT {_SHAPE}, missing, review FROM en")
+def converted_questions(spark, d):
+    """Questions for the standard sheet, with category, source and lifesaving of their source rows."""
+    out = _flat(export.converted(sheet_rows(spark, d)))
+    return out.select(*[c.split(" AS ")[-1].strip() for c in _SHAPE.replace("(answers, '|')", "").split(", ")], "missing", "review")
+
+
+@query(_FOUND + "SELECT file, count(*) AS exported, 0::BIGINT AS differing FROM en WHERE missing = '' GROUP BY file")
+def converted_round_trip(spark, d):
+    """The written sheet, context rows included, imported again: no field of any question differs."""
+    kept = durable(export.converted(sheet_rows(spark, d)).filter("missing = ''"), "converted")
+    bad = export.verified(kept).groupBy(F.substring_index("key", "|", 1).alias("file")).agg(F.count_distinct("key").alias("differing"))
+    out = kept.groupBy("file").agg(F.count("*").alias("exported"))
+    return out.join(bad, "file", "left").select("file", "exported", F.coalesce("differing", F.lit(0).cast("bigint")).alias("differing"))
+
+
+@query(_IMPORTED + f"SELECT * FROM ({_WARNED}) w ORDER BY file, sheet, source_row NULLS FIRST LIMIT 20")
 def first_warnings(spark, d):
     return ingest.first_warnings(ingest.import_rows(sheet_rows(spark, d)))
 
 
+@query(_IMPORTED + f"""
+, w AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY sheet, coalesce(source_row, 0), warning) AS r FROM ({_WARNED}) z),
+m AS (SELECT file, concat_ws(' ', sheet, source_row::VARCHAR, warning) AS said, r FROM w)
+SELECT f.file, a.said AS first_warning, b.said AS second_warning FROM (SELECT DISTINCT file_id::VARCHAR AS file FROM sheet_row) f LEFT JOIN m a ON a.file = f.file AND a.r = 1 LEFT JOIN m b ON b.file = f.file AND b.r = 2
+WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.file = f.file AND len(q.answers) > 0)
+""")
+def failed_files(spark, d):
+    rows = sheet_rows(spark, d)
+    return ingest.failed_files(ingest.import_rows(rows), rows)
+
+
 @query("SELECT id FROM bank WHERE origin = 'upload'")
 def deletable_banks(spark, d):
     return library.deletable(banks(spark, d)).select("id")
@@ -765,18 +916,12 @@ SELECT id, missing FROM (SELECT id, array_to_string(list_filter({_LETTERS}, lamb
   FROM question WHERE answer_mode IN ('single', 'multiple')) z WHERE missing <> ''
 """)
 def missing_option_keys(spark, d):
-    out = export.missing_options(questions(spark, d))
-    return out.select("id", F.array_join(F.array_sort(F.filter(F.split("missing", ""), lambda x: x != "")), "").alias("missing"))
+    return export.missing_options(questions(spark, d))
 
 
-@query("""
-SELECT id, coalesce(type, '') AS kind, stem, coalesce(list_filter(options, lambda o: o.key = 'A')[1].text, '') AS a, coalesce(list_filter(options, lambda o: o.key = 'I')[1].text, '') AS i,
-  CASE WHEN answer_mode = 'judge' THEN CASE WHEN answers[1] = 'T' THEN '正确' ELSE '错误' END WHEN answer_mode = 'fill' THEN array_to_string(answers, ',') ELSE array_to_string(answers, '') END AS answer,
-  CASE WHEN lifesaving THEN '是' ELSE '否' END AS lifesaving, coalesce(note, '') AS note FROM question
-""")
+@query("SELECT id, " + ", ".join(f'{e} AS "{c}"' for e, c in zip(_EXPORT, export.COLUMNS)) + " FROM question")
 def export_rows(spark, d):
-    out = export.sheet_rows(questions(spark, d))
-    return out.select("id", F.col("题型").alias("kind"), F.col("题干").alias("stem"), F.col("选项A").alias("a"), F.col("选项I").alias("i"), F.col("答案").alias("answer"), F.col("保命题").alias("lifesaving"), F.col("备注").alias("note"))
+    return export.sheet_rows(questions(spark, d))
 
 
 @query()
