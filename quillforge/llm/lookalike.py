@@ -18,18 +18,21 @@ Defined cases
 
 from __future__ import annotations
 
-import json
 import unicodedata
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillforge.functions.unicode import recomposed
 from quillforge.session import durable
 
-# Letters of other scripts with the shape of a Latin letter.
-CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХҮԚԜӀаеѕіјорсухүһԁԛԝѵ", "ABESIJKMHOPCTYXYQWIaesijopcyxyhdqwv"))
-GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳοϲν", "ABEZHIKMNOPTYXCjocv"))
+# Letters of other scripts with the shape of a Latin letter, each before its letter.
+CYRILLIC = dict(["АA", "ВB", "ЕE", "ЅS", "ІI", "ЈJ", "КK", "МM", "НH", "ОO", "РP", "СC", "ТT", "УY", "ХX", "ҮY", "ԚQ", "ԜW", "ӀI", "ӏl", "аa", "еe", "ѕs", "іi", "јj", "оo", "рp", "сc", "уy", "хx", "ү" + "y", "һh", "ԁd", "ԛq", "ԝw", "ѵv"])
+GREEK = dict(["ΑA", "ΒB", "ΕE", "ΖZ", "ΗH", "ΙI", "ΚK", "ΜM", "ΝN", "ΟO", "ΡP", "ΤT", "ΥY", "ΧX", "ϹC", "ϳj", "οo", "ϲc", "νv", "ρp", "ιi", "υu", "αa", "γy", "κk"])
+ARMENIAN = dict(["ՕO", "ՍU", "Տ" + "S", "օo", "սu", "հh", "ոn", "գq", "զq", "ց" + "g"])
+LATIN = dict(["ɑa", "ɡg", "ıi", "ɩi", "ǀl"])
+LETTERS = CYRILLIC | GREEK | ARMENIAN | LATIN
 DASHES = {"‐": "-", "‑": "-"}
 #: Characters without any mark of their own besides category Cf.
 INVISIBLE = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B, 0x180E), *range(0xFE00, 0xFE10)}
@@ -38,20 +41,21 @@ SAME_LOOK = ("<wide>", "<narrow>", "<noBreak>")
 
 
 def _looks_same_compat(ch: str) -> bool:
-    """Radicals, ligatures, roman numerals and squared signs drawn with the same letters."""
+    """Radicals, ligatures, roman numerals, mathematical letters and squared signs drawn with the same letters."""
     cp = ord(ch)
-    return 0x2E80 <= cp <= 0x2FDF or 0xFB00 <= cp <= 0xFB06 or 0x2160 <= cp <= 0x217F or ch in "℃℉"
+    mathematical = 0x1D400 <= cp <= 0x1D7FF
+    return 0x2E80 <= cp <= 0x2FDF or 0xFB00 <= cp <= 0xFB06 or 0x2160 <= cp <= 0x217F or mathematical or ch in "℃℉"
 
 
 def _decompose(ch: str) -> str:
     """The characters ``ch`` looks like, fully decomposed."""
-    if ch in CYRILLIC or ch in GREEK or ch in DASHES:
-        return CYRILLIC.get(ch) or GREEK.get(ch) or DASHES[ch]
+    if ch in LETTERS or ch in DASHES:
+        return LETTERS.get(ch) or DASHES[ch]
     parts = unicodedata.decomposition(ch).split()
     if not parts:
         return ch
     if parts[0].startswith("<"):
-        if parts[0] not in SAME_LOOK and not (parts[0] == "<compat>" and _looks_same_compat(ch)):
+        if parts[0] not in SAME_LOOK and not (parts[0] in ("<compat>", "<font>") and _looks_same_compat(ch)):
             return ch
         parts = parts[1:]
     return "".join(_decompose(chr(int(p, 16))) for p in parts)
@@ -80,56 +84,6 @@ def mapping_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(mapping(), "ch string, to string")
 
 
-@lru_cache(1)
-def mark_classes() -> dict[str, int]:
-    return {chr(cp): k for cp in range(0x300, 0x1E945) if (k := unicodedata.combining(chr(cp)))}
-
-
-@lru_cache(1)
-def compositions() -> dict[str, str]:
-    """Each canonical pair of base and mark to the character it composes to."""
-    out = {}
-    for cp in range(0xC0, 0x1E945):
-        ch = chr(cp)
-        parts = unicodedata.decomposition(ch).split()
-        if len(parts) == 2 and not parts[0].startswith("<") and unicodedata.normalize("NFC", ch) == ch:
-            out["".join(chr(int(p, 16)) for p in parts)] = ch
-    return out
-
-
-def _literal_map(values: dict, kind: str) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), f"map<string,{kind}>")
-
-
-def _recomposed(text: Column) -> Column:
-    """Marks after each base ordered by class, then base and marks composed."""
-    classes, composed = _literal_map(mark_classes(), "int"), _literal_map(compositions(), "string")
-
-    def several(cluster: Column) -> Column:
-        """Marks in the order of their classes, each composed unless one of its class or a higher one stays before it."""
-        marks = F.filter(F.split(F.substring(cluster, 2, 1 << 20), ""), lambda m: m != "")
-        keyed = F.array_sort(F.transform(marks, lambda m, i: F.struct(F.coalesce(F.try_element_at(classes, m), F.lit(0)).alias("k"), i.alias("i"), m.alias("m"))))
-        start = F.struct(F.substring(cluster, 1, 1).alias("base"), F.lit("").alias("rest"), F.lit(-1).alias("last"))
-
-        def step(acc: Column, x: Column) -> Column:
-            made = F.when(acc["last"] < x["k"], F.try_element_at(composed, F.concat(acc["base"], x["m"])))
-            return F.struct(
-                F.coalesce(made, acc["base"]).alias("base"),
-                F.when(made.isNull(), F.concat(acc["rest"], x["m"])).otherwise(acc["rest"]).alias("rest"),
-                F.when(made.isNull(), x["k"]).otherwise(acc["last"]).alias("last"),
-            )
-
-        return F.aggregate(keyed, start, step, lambda acc: F.concat(acc["base"], acc["rest"]))
-
-    def compose(cluster: Column) -> Column:
-        one = F.coalesce(F.try_element_at(composed, cluster), cluster)
-        bare = F.substring(several(F.concat(F.lit("\x01"), cluster)), 2, 1 << 20)  # marks at the start have no base
-        return F.when(F.length(cluster) == 1, cluster).when(cluster.rlike(r"^\p{M}"), bare).when(F.length(cluster) == 2, one).otherwise(several(cluster))
-
-    clusters = F.regexp_extract_all(text, F.lit(r"(?s)(\P{M}\p{M}*|\p{M}+)"), F.lit(1))
-    return F.when(text.rlike(r"\p{M}"), F.array_join(F.transform(clusters, compose), "")).otherwise(text)
-
-
 #: A text without any match stands for itself: visible ASCII, unified ideographs, two marks, single inner blanks.
 NOT_PLAIN = r"[^\x20-\x7E\u4E00-\u9FFF\u3001\u3002]|^ | \z|  "
 
@@ -151,7 +105,7 @@ def consistent(texts: DataFrame) -> DataFrame:
     rebuilt = mapped.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("pos", "to"))).alias("points"))
     text = F.array_join(F.transform("points", lambda p: p["to"]), "")
     blanks = rebuilt.select("h", F.trim(F.regexp_replace(text, " +", " ")).alias("t"))
-    forms = blanks.select("h", _recomposed(F.col("t")).alias("form"))
+    forms = blanks.select("h", recomposed(F.col("t")).alias("form"))
     return forms.select("h", "form", text_key(F.col("form")).alias("c"))
 
 

@@ -4,6 +4,8 @@ import unicodedata
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from quillforge.llm import lookalike
 from quillforge.session import table
 
@@ -73,3 +75,12 @@ def test_whole_table(spark, small):
     q = table(spark, small, "question")
     rows = [(r.id, r.stem, [(o.key, o.text) for o in r.options or []], r.answers) for r in q.collect()]
     assert {tuple(r) for r in lookalike.lookalikes(q).collect()} == expected(rows)
+
+
+def test_more_scripts_and_hangul(spark):
+    pairs = [("ӏl", "ll"), ("ρορ", "pop"), ("ոօ", "no"), ("ɡɑɡ", "gag"), ("𝐀𝑏", "Ab"), ("각나", "각나"), ("각", "각")]
+    rows = [(i, t, t) for i, t in enumerate(x for p in pairs for x in p)]
+    texts = spark.createDataFrame(rows, "i int, text string, t string").withColumn("h", lookalike.text_key(F.col("text")))
+    got = {r.h: r.form for r in lookalike.consistent(texts).collect()}
+    form = {r.t: got.get(r.h, r.t) for r in texts.collect()}
+    assert all(form[a] == form[b] for a, b in pairs)
