@@ -105,7 +105,7 @@ STAND_INS = (
         r"|\breplace (?:this |it )?with your (?:own )?(?:text|content|copy)|\bclick (?:here )?to (?:edit|add) (?:this |your )?(?:text|title|content)|\b(?:type|enter|add) your (?:text|title|content)\b",
     ),
     ((), r"(\p{L}[\p{L}\p{N}]{1,2}[ 0-9]{0,6}?)\1{3,}|(\p{L}[\p{L}\p{N}]{3,7}[ 0-9]{0,6}?)\2{2,}"),
-    (("一", "1"), r"(标题|段落|正文|文本|小标题)[一1]\s*\1[二2]"),
+    (("标题", "段落", "正文", "文本"), r"(标题|段落|正文|文本|小标题)[一1]\s*\1[二2]"),
 )
 ERRORS = (
     (
@@ -113,7 +113,7 @@ ERRORS = (
         r"Traceback \(most recent call last\)|File \"[^\"\n]+\", line [0-9]+|\b[\p{L}.]+(?:Exception|Error): |java\.lang\.[\p{L}]+(?:Exception|Error)",
     ),
     # Stack frames of any language; what programs say when they stop.
-    ((":",), r"\bat [\p{L}\p{N}_.$<>/]+ ?\([^()\s]+:[0-9]+(?::[0-9]+)?\)"),
+    (tuple(f".{x}:" for x in ("java", "kt", "scala", "js", "ts", "py", "php", "rb", "cs", "go", "cpp", "rs")), r"\bat [\p{L}\p{N}_.$<>/]+ ?\([^()\s]+:[0-9]+(?::[0-9]+)?\)"),
     (("fatal", "uncaught", "unhandled", "parse error", "syntax error", "segmentation"), r"(?i)\b(?:fatal|parse|syntax) error: |\b(?:uncaught|unhandled) (?:\p{L}*(?:error|exception)|promise rejection)\b|\bsegmentation fault\b"),
     (("sql error", "undefined", "http status", "http error"), r"(?i)SQL error near|Undefined (?:variable|index|offset)|HTTP (?:Status|Error) [45][0-9][0-9]"),
     # A status code and its reason, in either order; either alone only as the beginning or the whole of a line.
@@ -151,8 +151,10 @@ INABILITY = (
 )
 #: Lower-cased texts of which every line that matches holds one.
 INABILITY_NEEDS = (
-    "can", "could", "unable to", "failed to", "available", "down", "offline", "longer", "exist", "expired", "timed out", "been ", "allowed", "permi", "authori", "script",
-    "无法", "失败", "超时", "出错", "异常", "不存在", "下线", "失效", "过期", "删除", "移除", "不可用", "未开放", "权限", "找不到", "拒绝访问", "维护",
+    "cannot", "can not", "can't", "can’t", "could not", "couldn", "unable to", "failed to", "available", " down", "offline", "no longer", "not exist", "expired", "timed out",
+    "been removed", "been moved", "been deleted", "not allowed", "permitted", "permission to", "not authori", "script", "脚本",
+    "无法", "不存在", "下线", "失效", "过期", "删除", "移除", "不可用", "未开放", "权限", "找不到", "拒绝访问", "维护中", "正在维护",
+    *(a + b for a in ("加载", "访问", "请求", "连接", "提交", "读取", "获取", "打开", "登录", "响应") for b in ("失败", "超时", "出错", "异常")),
 )
 ADVICE = (
     r"(?i)\btry (?:again|later|once more)|\breload|\brefresh|\b(?:come|check) back|\bcontact (?:the |your |our )?(?:site |system )?(?:administrator|support|help)|\b(?:log|sign) ?in again|\bgo back|\breturn to the (?:home|previous|start)"
