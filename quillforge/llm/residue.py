@@ -151,10 +151,9 @@ INABILITY = (
 )
 #: Lower-cased texts of which every line that matches holds one.
 INABILITY_NEEDS = (
-    "cannot", "can not", "can't", "can’t", "could not", "couldn", "unable to", "failed to", "available", " down", "offline", "no longer", "not exist", "expired", "timed out",
-    "been removed", "been moved", "been deleted", "not allowed", "permitted", "permission to", "not authori", "script", "脚本",
-    "无法", "不存在", "下线", "失效", "过期", "删除", "移除", "不可用", "未开放", "权限", "找不到", "拒绝访问", "维护中", "正在维护",
-    *(a + b for a in ("加载", "访问", "请求", "连接", "提交", "读取", "获取", "打开", "登录", "响应") for b in ("失败", "超时", "出错", "异常")),
+    "cannot", "can not", "can't", "can’t", "could not", "couldn", "unable to", "failed to", "available", " down", "offline", "no longer", "not exist", "has ",
+    "not allowed", "not permitted", "not authori", "permission to", "script", "脚本",
+    "无法", "不存在", "下线", "失效", "过期", "删除", "移除", "不可用", "未开放", "权限", "找不到", "拒绝访问", "维护中", "正在维护", "失败", "超时", "出错", "异常",
 )
 ADVICE = (
     r"(?i)\btry (?:again|later|once more)|\breload|\brefresh|\b(?:come|check) back|\bcontact (?:the |your |our )?(?:site |system )?(?:administrator|support|help)|\b(?:log|sign) ?in again|\bgo back|\breturn to the (?:home|previous|start)"
@@ -184,13 +183,13 @@ def _any(detectors, text: Column, low: Column) -> Column:
 
 
 def detected(documents: DataFrame) -> DataFrame:
-    """``doc_id, source, slot, stand_in, error, script, said``: what each detector group says of the documents with text."""
+    """``doc_id, source, slot, stand_in, error, script, said, low``: what each detector group says of the documents with text."""
     said = F.col("text")
     for need, pattern in EXPLAINED:
         said = F.when(F.contains(said, F.lit(need)), F.regexp_replace(said, pattern, "")).otherwise(said)
     rows = documents.filter(F.col("text").isNotNull()).select("doc_id", "source", said.alias("said"))
     rows = rows.withColumn("low", F.lower("said"))
-    return rows.select("doc_id", "source", *(_any(d, F.col("said"), F.col("low")).alias(n) for n, d in GROUPS.items()), "said")
+    return rows.select("doc_id", "source", *(_any(d, F.col("said"), F.col("low")).alias(n) for n, d in GROUPS.items()), "said", "low")
 
 
 def _terms(c: Column) -> Column:
@@ -215,7 +214,7 @@ def judged(documents: DataFrame) -> DataFrame:
     """
     rows = detected(documents)
     said = F.col("said")
-    body = F.when(_holds(INABILITY_NEEDS, F.lower(said)) & said.rlike(INABILITY), said)
+    body = F.when(_holds(INABILITY_NEEDS, F.col("low")) & said.rlike(INABILITY), said)
     return rows.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), *GROUPS, body.alias("body"))
 
 
