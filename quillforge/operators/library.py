@@ -19,6 +19,11 @@ class Library:
     progress: DataFrame
 
 
+def _put(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """New questions take the place of stored ones of the same id, whichever bank held them."""
+    return stored.join(new.select("id"), "id", "left_anti").select(*stored.columns).unionByName(new)
+
+
 def orphaned_progress(progress: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
     """Progress of questions that were in ``before`` and are gone from, or in another bank of, ``after``."""
     old = before.select(F.col("id").alias("question_id"), "bank_id")
@@ -37,7 +42,7 @@ def refresh_bundled(lib: Library, banks: DataFrame, questions: DataFrame) -> Lib
     lost = orphaned_progress(lib.progress, old_questions, new_questions).select("question_id")
     return Library(
         lib.banks.join(uploads, "id", "left_semi").unionByName(new_banks.select(*lib.banks.columns)),
-        lib.questions.join(old_ids, "bank_id", "left_anti").unionByName(new_questions),
+        _put(lib.questions.join(old_ids, "bank_id", "left_anti"), new_questions),
         lib.progress.join(lost, "question_id", "left_anti"),
     )
 
@@ -49,7 +54,7 @@ def replace_banks(lib: Library, banks: DataFrame, questions: DataFrame) -> Libra
     gone = old.select("id").join(questions.select("id"), "id", "left_anti").withColumnRenamed("id", "question_id")
     return Library(
         lib.banks.join(banks.select("id"), "id", "left_anti").unionByName(banks.withColumn("origin", F.lit("upload")).select(*lib.banks.columns)),
-        lib.questions.join(ids, "bank_id", "left_anti").unionByName(questions.select(*lib.questions.columns)),
+        _put(lib.questions.join(ids, "bank_id", "left_anti"), questions.select(*lib.questions.columns)),
         lib.progress.join(gone, "question_id", "left_anti"),
     )
 

@@ -85,6 +85,22 @@ def delete_keys(stored: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return stored.join(keys.select(key), key, "left_anti")
 
 
+ACTIVE = "active"
+
+
+def save_session(stored: DataFrame, session: DataFrame) -> DataFrame:
+    """The one session slot holds the session given last."""
+    return upsert(stored, session.withColumn("id", F.lit(ACTIVE)), "id")
+
+
+def active_session(stored: DataFrame) -> DataFrame:
+    return stored.filter(F.col("id") == ACTIVE)
+
+
+def clear_session(stored: DataFrame) -> DataFrame:
+    return stored.filter(F.col("id") != ACTIVE)
+
+
 def navigation(sessions: DataFrame) -> DataFrame:
     """Previous and next question of each position of a session."""
     rows = sessions.select(F.col("id").alias("session_id"), F.posexplode("question_ids").alias("pos", "question_id"))

@@ -504,9 +504,14 @@ def column_number(spark, d):
     return cols.select("col", letters.alias("letters"), T.column_number(letters).alias("back"))
 
 
-@query("SELECT id, substr(sha256(stem), 1, 20) AS digest FROM question")
+@query("SELECT id, substr(sha256(stem), 1, 20) AS digest, substr(sha1(stem), 1, 16) || '.schema1' AS version FROM question")
 def hash_digest(spark, d):
-    return questions(spark, d).select("id", F.substring(F.sha2("stem", 256), 1, 20).alias("digest"))
+    return questions(spark, d).select("id", F.substring(F.sha2("stem", 256), 1, 20).alias("digest"), F.concat(F.substring(F.sha1("stem"), 1, 16), F.lit(".schema1")).alias("version"))
+
+
+@query(r"SELECT id, replace(regexp_replace('banks/' || source_file, '(?i)\.xlsx$', ''), '/', ' - ') AS name FROM bank")
+def bank_name_of_folders(spark, d):
+    return banks(spark, d).select("id", T.bank_name_of_path(F.concat(F.lit("banks/"), "source_file")).alias("name"))
 
 
 _OPTION_SQL = "list_filter(q.options, lambda o: o.key IS NOT NULL)"
@@ -874,6 +879,47 @@ def union_banks(spark, d):
     return b.unionByName(questions(spark, d).select("id", F.col("stem").alias("name"), "bank_id"))
 
 
+@query(f"""
+WITH up AS (SELECT id FROM bank WHERE origin = 'upload'), old AS (SELECT id FROM bank WHERE coalesce(origin, '') <> 'upload'),
+new AS (SELECT q.* FROM question q ANTI JOIN up ON q.bank_id = up.id WHERE q.answer_mode <> 'fill'), oldq AS (SELECT q.id, q.bank_id FROM question q SEMI JOIN old ON q.bank_id = old.id),
+lost AS (SELECT o.id FROM oldq o ANTI JOIN new n ON o.id = n.id AND o.bank_id = n.bank_id), kept AS (SELECT q.* FROM question q ANTI JOIN old ON q.bank_id = old.id ANTI JOIN new ON q.id = new.id)
+SELECT 'question' AS relation, id, bank_id AS of, stem AS content FROM (SELECT id, bank_id, stem FROM kept UNION ALL SELECT id, bank_id, stem FROM new) q
+UNION ALL SELECT 'bank', id, CASE WHEN origin = 'upload' THEN 'upload' ELSE 'bundled' END, name FROM bank
+UNION ALL SELECT 'progress', question_id, NULL, attempts::VARCHAR FROM {_SNAPSHOT} p ANTI JOIN lost ON p.question_id = lost.id
+UNION ALL SELECT 'version', 'sourceVersion', NULL, 'v2'
+""")
+def startup_refresh(spark, d):
+    """A published bundle of another version than the stored one, loaded at start-up: the whole state after it."""
+    from uuid import uuid4
+
+    from quillforge.sources import datasets
+
+    lib = _library(spark, d)
+    folder = f"{shared_dir(spark)}/bundle-{uuid4().hex}"
+    datasets.write_bundle(lib.banks, lib.questions.filter("answer_mode <> 'fill'"), folder, "v2")
+    new, version = datasets.refreshed(spark, lib, "v1", folder)
+    rows = new.questions.select(F.lit("question").alias("relation"), "id", F.col("bank_id").alias("of"), F.col("stem").alias("content"))
+    rows = rows.unionByName(new.banks.select(F.lit("bank").alias("relation"), "id", F.col("origin").alias("of"), F.col("name").alias("content")))
+    rows = rows.unionByName(new.progress.select(F.lit("progress").alias("relation"), F.col("question_id").alias("id"), F.lit(None).cast("string").alias("of"), F.col("attempts").cast("string").alias("content")))
+    meta = spark.createDataFrame([("version", "sourceVersion", None, version)], "relation string, id string, of string, content string")
+    return rows.unionByName(meta)
+
+
+@query("SELECT 'active' AS id, coalesce(mode, '') AS mode, cursor_pos, updated_at FROM practice_session ORDER BY practice_session.updated_at DESC, practice_session.id DESC LIMIT 1")
+def session_slot(spark, d):
+    """The slot after all sessions were saved to it in order of their stamps."""
+    rows = sessions(spark, d).withColumns({"slot": F.lit("all"), "sid": F.col("id")})
+    last = progress.latest_per_key(rows, "slot", "updated_at", "sid")
+    stored = progress.save_session(rows.limit(0), last.select(*rows.columns))
+    return progress.active_session(stored).select("id", F.coalesce("mode", F.lit("")).alias("mode"), "cursor_pos", "updated_at")
+
+
+@query(f"SELECT q.id, q.bank_id FROM question q SEMI JOIN (SELECT question_id FROM ({_FOLD}) p WHERE wrong > 0) w ON q.id = w.question_id")
+def wrong_paper(spark, d):
+    wrong = folded(spark, d).filter("wrong > 0").select(F.col("question_id").alias("id"))
+    return questions(spark, d).select("id", "bank_id").join(wrong, "id", "left_semi")
+
+
 # ---- export and quality ---------------------------------------------------
 
 

@@ -111,6 +111,6 @@ def merge_into_snapshot(counts: DataFrame, base: str, checkpoint: str):
         except FileNotFoundError:
             write_snapshot(batch, base)
             return
-        write_snapshot(upsert(stored, batch, "question_id"), base)
+        write_snapshot(upsert(stored, batch, "question_id"), base, keep=False)
 
     return counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,3 +1,4 @@
+import json
 import zipfile
 
 import pytest
@@ -97,10 +98,18 @@ def test_bundle_and_snapshot(spark, tmp_path):
     datasets.write_bundle(banks, questions, str(tmp_path), "v2")
     version, b2, q2 = datasets.load_dataset(spark, str(tmp_path))
     assert version == "v2" and b2.exceptAll(banks).count() == 0 and q2.exceptAll(questions).count() == 0 and q2.count() == 4
+    manifest = json.loads((tmp_path / "manifest.json").read_text())
+    assert manifest == {"schemaVersion": 1, "sourceVersion": "v2", "bankCount": 1, "questionCount": 4}
+    doc = json.loads((tmp_path / "questions.json").read_text())
+    assert doc["questions"][0].keys() >= {"bankId", "sourceRow", "answerMode", "caseContext"} and doc["banks"][0]["questionCount"] == 4
+    store = library.Library(banks, questions, spark.createDataFrame([], model.PROGRESS))
+    assert datasets.refreshed(spark, store, "v2", str(tmp_path))[0] is store
+    again, stored_version = datasets.refreshed(spark, store, "demo", str(tmp_path))
+    assert stored_version == "v2" and again.questions.count() == 4
     datasets.write_snapshot(questions, str(tmp_path / "store"), "bank_id")
     assert datasets.read_snapshot(spark, str(tmp_path / "store")).count() == 4
     (tmp_path / "manifest.json").write_text("<html>")
-    assert datasets.manifest_version(str(tmp_path / "manifest.json")) == "demo"
+    assert datasets.manifest_version(spark, str(tmp_path / "manifest.json")) == "demo"
 
 
 def question(i, bank):
@@ -132,6 +141,42 @@ def test_refresh_replace_delete(spark):
     assert ids(got.questions, "id") == ["mine"] and ids(got.progress, "question_id") == ["mine"] and ids(got.banks, "id") == ["up"]
 
 
+def test_a_new_question_takes_the_place_of_one_in_another_bank(spark):
+    lib = store(spark)
+    got = library.replace_banks(lib, lib.banks.filter("id = 'b1'"), spark.createDataFrame([question("mine", "b1")], model.QUESTION))
+    assert [(r.id, r.bank_id) for r in got.questions.collect()] == [("mine", "b1")]
+
+
+def sheet_of(spark, *lines):
+    rows = [("f.xlsx", "s", n, {i: t for i, t in enumerate(line, 1) if t}) for n, line in enumerate(lines, 1)]
+    return spark.createDataFrame(rows, "file string, sheet string, row_num int, cells map<int,string>")
+
+
+def test_template_headers_and_repeated_options(spark):
+    head = ("题型", "难易度", "知识类别", "题干", "A", "B", "A", "答案", "出自规范", "是否保命题", ingest.NOTE_HEADER)
+    rows = sheet_of(spark, head, ("单选题", "易", "类", "题", "first", "b", "last", "A", "规范1", "yes", "note"))
+    assert ingest.sheet_headers(rows).first().score == 17
+    r = ingest.import_rows(rows).questions.first()
+    assert [(o.key, o.text) for o in r.options] == [("A", "last"), ("B", "b")] and (r.source, r.lifesaving, r.note) == ("规范1", True, "note")
+    strict = ingest.import_rows(rows, strict=True).questions.first()
+    assert not strict.lifesaving and strict.source == "规范1"
+    other = sheet_of(spark, ("类型", "难度", "类别", "题目", "A", "B", "答案"), ("单选题", "易", "类", "题", "A. x", "b", "A"))
+    assert ingest.import_rows(other, strict=True).questions.count() == 0 and ingest.import_rows(other).questions.first().options[0].text == "x"
+
+
+def test_compatible_forms_match(spark):
+    rows = sheet_of(spark, ("题型", "题干", "A", "B", "答案"), ("单选题", "题", "5㎏", "5㎡", "5 kg"))
+    assert ingest.import_rows(rows).questions.first().answers == ["A"]
+
+
+def test_first_two_warnings_of_a_failed_file(spark):
+    rows = sheet_of(spark, ("题型", "题干", "A", "B", "答案"), *[("单选题", f"题{i}", "x", "y", "") for i in range(12)])
+    got = ingest.failed_files(ingest.import_rows(rows), rows).first()
+    assert (got.first_warning, got.second_warning) == ("s 2 no usable answer", "s 3 no usable answer")
+    with pytest.raises(Exception, match="nothing to import"):
+        ingest.require_imported(ingest.import_rows(rows), rows).collect()
+
+
 def test_rekeying(spark):
     q = spark.createDataFrame([question("q1", "b1")], model.QUESTION)
     assert library.copied(q, q, "s")[1].first().id == "q1-s"
