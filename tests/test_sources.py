@@ -173,8 +173,6 @@ def test_first_two_warnings_of_a_failed_file(spark):
     rows = sheet_of(spark, ("题型", "题干", "A", "B", "答案"), *[("单选题", f"题{i}", "x", "y", "") for i in range(12)])
     got = ingest.failed_files(ingest.import_rows(rows), rows).first()
     assert (got.first_warning, got.second_warning) == ("s 2 no usable answer", "s 3 no usable answer")
-    with pytest.raises(Exception, match="nothing to import"):
-        ingest.require_imported(ingest.import_rows(rows), rows).collect()
 
 
 def test_rekeying(spark):
